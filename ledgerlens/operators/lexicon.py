@@ -59,6 +59,27 @@ def scores_from_counts(counts: DataFrame, key: str, lexicon: DataFrame) -> DataF
     return scored.select(key, *[F.col("s")[name].alias(name) for name in SCORES])
 
 
+def score_vectors(
+    df: DataFrame, key: str, vector: str, vocabulary: list[str], lexicon: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """Scores from the rows of a count matrix (D24): each row is summed where it lies, without a join."""
+    lexicon = LEXICON if lexicon is None else lexicon
+    position = {term: i for i, term in enumerate(vocabulary)}
+    cells = df.select(key, F.unwrap_udt(vector).alias("v"))
+    cells = cells.select(key, F.arrays_zip(F.col("v.indices").alias("i"), F.col("v.values").alias("x")).alias("c"))
+
+    def total(array: Column) -> Column:
+        return F.aggregate(array, F.lit(0.0), lambda acc, cell: acc + cell["x"])
+
+    counts = {}
+    for name, terms in lexicon.items():
+        wanted = [position[t] for t in terms if t in position]
+        hits = F.filter("c", lambda cell: cell["i"].isin(wanted)) if wanted else None
+        counts[name] = total(hits) if wanted else F.lit(0.0)
+    scored = cells.select(key, score_struct(counts, total(F.col("c"))).alias("s"))
+    return scored.select(key, *[F.col("s")[name].alias(name) for name in SCORES])
+
+
 def sentiment_rows(scores: DataFrame, key: str) -> DataFrame:
     """Scores as rows ``(key, dimension, score)`` ranked by absolute value within each key (F1).
 

@@ -22,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -56,3 +57,13 @@ def small(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
     if len(rows) > limit:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows over all cores when the input came in fewer partitions than there are cores.
+
+    For costly work per row on few or unsplittable files. An input of many partitions is left as it is, so a large table
+    is not shuffled. Rows go by the hash of their key, which a repeated task repeats exactly.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, key)
