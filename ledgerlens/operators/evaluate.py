@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.ordered import add_running_total
+from ledgerlens.session import stage
 
 
 def confusion(df: DataFrame, truth: str, prediction: str, by: list[str] | None = None) -> DataFrame:
@@ -100,7 +101,8 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     by_score = known.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
-    running = add_running_total(by_score, "score", "neg", "below")
+    # The scores may come from costly text work and are read three times.
+    running = add_running_total(stage(by_score, "scores"), "score", "neg", "below")
     wins = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
     pos, neg = F.sum("pos").cast("double"), F.sum("neg").cast("double")
     return running.agg(

@@ -6,18 +6,20 @@ from collections.abc import Callable, Iterator
 
 from pyspark.ml.feature import VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import as_column, let
 from ledgerlens.functions.text import SPACE_CHARS
-from ledgerlens.operators.topics import LDA_FEATURE_ITER, _cells, fit_lda
+from ledgerlens.operators.sparse import cells, task_helpers, sum_rows
+from ledgerlens.operators.topics import LDA_FEATURE_ITER, fit_lda
 from ledgerlens.operators.vectorize import FittedVectorizer, fit_vectorizer, terms_of
 
 STATISTICS = ["word_count", "char_count", "sentence_count", "avg_word_length", "avg_sentence_length"]
+# Components of the semantic features, rounds and spare directions of the solver.
 SEMANTIC_COMPONENTS = 50
+LSA_ITERATIONS = 5
+LSA_OVERSAMPLE = 10
 
 
 def statistical_features(text: Column | str) -> Column:
@@ -51,32 +53,72 @@ class LsaModel:
         key_type = df.schema[key].dataType.simpleString()
         shared = df.sparkSession.sparkContext.broadcast(self.components)
 
+        pieces, row_sums, _ = task_helpers()
+
         def run(frames: Iterator) -> Iterator:
-            import numpy as np
             import pandas as pd
 
             right = shared.value
             for frame in frames:
-                sizes = frame["i"].map(len).to_numpy()
-                rows = np.repeat(np.arange(len(frame)), sizes)
-                result = np.zeros((len(frame), right.shape[1]))
-                if rows.size:
-                    columns = np.concatenate(frame["i"].to_list()).astype(np.int64)
-                    values = np.concatenate(frame["x"].to_list())
-                    np.add.at(result, rows, values[:, None] * right[columns])
-                yield pd.DataFrame({"key": frame["key"], "x": list(result)})
-
-        cells = _cells(df.select(F.col(key).alias("key"), vector), vector)
-        scored = cells.mapInPandas(run, f"key {key_type}, x array<double>")
+                for part, rows, columns, values in pieces(frame):
+                    scores = row_sums(rows, values[:, None] * right[columns], len(part))
+                    yield pd.DataFrame({"key": part["key"].to_numpy(), "x": list(scores)})
+
+        found = cells(df.select(F.col(key).alias("key"), vector), vector)
+        scored = found.mapInPandas(run, f"key {key_type}, x array<double>")
         return scored.select(F.col("key").alias(key), F.col("x").alias(output))
 
 
-def fit_lsa(vectors: DataFrame, vector: str, components: int = SEMANTIC_COMPONENTS) -> LsaModel:
-    """Truncated SVD without centring (I9). The rows are cached while the solver multiplies by them."""
-    rows = MLUtils.convertVectorColumnsFromML(vectors.select(vector), vector).persist()
-    svd = RowMatrix(rows).computeSVD(components, computeU=False)
-    rows.unpersist()
-    return LsaModel(svd.V.toArray(), svd.s.toArray())
+def fit_lsa(
+    vectors: DataFrame,
+    vector: str,
+    components: int = SEMANTIC_COMPONENTS,
+    iterations: int = LSA_ITERATIONS,
+    oversample: int = LSA_OVERSAMPLE,
+    seed: int = 42,
+) -> LsaModel:
+    """Truncated SVD without centring, by randomised subspace iteration.
+
+    A round multiplies a block of vectors by the Gram matrix of the documents: one pass over the rows, whose sums have
+    the size vocabulary x block. So the number of passes is ``iterations`` + 1, whatever the number of components.
+    """
+    import numpy as np
+
+    spark = vectors.sparkSession
+    found = cells(vectors.select(vector), vector)
+    size = vectors.select(F.unwrap_udt(vector)["size"].alias("n")).first()["n"]
+    width = min(size, components + oversample)
+    pieces, row_sums, column_sums = task_helpers()
+
+    def multiply(block):
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(frames: Iterator) -> Iterator:
+            import numpy as np
+            import pandas as pd
+
+            basis = shared.value
+            total = np.zeros(basis.shape)
+            for frame in frames:
+                for part, rows, columns, values in pieces(frame):
+                    scores = row_sums(rows, values[:, None] * basis[columns], len(part))
+                    total += column_sums(columns, values[:, None] * scores[rows], len(total))
+            used = np.flatnonzero(total.any(axis=1))
+            yield pd.DataFrame({"kind": ["gram"] * len(used), "i": used, "sums": list(total[used])})
+
+        sums = found.mapInPandas(run, "kind string, i long, sums array<double>")
+        result = np.zeros((size, width))
+        for row in sum_rows(sums, width):
+            result[row["i"]] = row[2:]
+        shared.unpersist()
+        return result
+
+    basis, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))
+    for _ in range(iterations):
+        basis, _ = np.linalg.qr(multiply(basis))
+    values, rotation = np.linalg.eigh(basis.T @ multiply(basis))
+    best = np.argsort(values)[::-1][:components]
+    return LsaModel(basis @ rotation[:, best], np.sqrt(np.maximum(values[best], 0.0)))
 
 
 def explained_variance(scores: DataFrame, column: str, vectors: DataFrame, vector: str, size: int) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.evaluate import classifier_metrics, regression_metrics, roc_auc, summarise_folds
 from ledgerlens.operators.split import RETURN_THRESHOLD, SEED, TEST_SIZE, folds, stratified_split
-from ledgerlens.session import stage
+from ledgerlens.session import compact, stage
 
 # Search settings.
 ALPHA_MIN, ALPHA_MAX, N_ALPHAS = 0.0001, 1.0, 50
@@ -61,7 +61,11 @@ def draw(space: dict, rng: random.Random) -> dict:
 
 
 def lasso(alpha: float, features: str = "features", label: str = "label", max_iter: int = 1000) -> LinearRegression:
-    """Lasso with the objective ``|y - Xb|^2 / 2n + alpha |b|_1``."""
+    """Lasso with the objective ``|y - Xb|^2 / 2n + alpha |b|_1``.
+
+    Up to 4,096 features Spark sums the moments in one pass over the data and solves on them; beyond that it makes a
+    pass per step.
+    """
     return LinearRegression(
         featuresCol=features,
         labelCol=label,
@@ -70,7 +74,7 @@ def lasso(alpha: float, features: str = "features", label: str = "label", max_it
         standardization=False,
         maxIter=max_iter,
         tol=1e-9,
-        solver="l-bfgs",
+        solver="auto",
     )
 
 
@@ -219,7 +223,7 @@ def cross_validate(
 ) -> DataFrame:
     """Mean, deviation and values of the scores over k folds, for the test and the train side."""
     stratum = df.withColumn("_one", F.lit(0)) if regression else df
-    folded = folds(stratum, key, "_one" if regression else label, k)
+    folded = compact(stage(folds(stratum, key, "_one" if regression else label, k), "cv-folds"))
     scores = fold_scores(estimator, folded, k, label, regression)
     if scoring is not None:
         scores = scores.where(F.col("metric").isin(scoring))
@@ -257,8 +261,8 @@ def train_lasso(
     """Lasso with a seeded random search over alpha (I16)."""
     parts = stratified_split(df.withColumn("_one", F.lit(0)), key, "_one", test_size, 0.0, seed)
     parts = stage(parts, "lasso-parts")
-    train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
-    folded = stage(folds(train.drop("split"), key, "_one", k, seed), "lasso-folds")
+    train, test = compact(parts.where("split = 'train'")), parts.where("split = 'test'")
+    folded = compact(stage(folds(train.drop("split"), key, "_one", k, seed), "lasso-folds"))
     rng = random.Random(seed)
     candidates = [rng.uniform(*alpha_range) for _ in range(alphas)]
     scores = [mean_fold_score(lasso(a, label=label), folded, k, label, True) for a in candidates]
@@ -295,7 +299,7 @@ def train_classifiers(
     parts = stage(stratified_split(labelled, key, "label", test_size, 0.0, seed), "class-parts")
     train = add_balance_weight(parts.where("split = 'train'").drop("split"))
     test = parts.where("split = 'test'")
-    folded = stage(folds(train, key, "label", k, seed), "class-folds")
+    folded = compact(stage(folds(train, key, "label", k, seed), "class-folds"))
     rows = folded.count()
     results, models = [], {}
     for kind in kinds or list(spaces):

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import as_column
+from ledgerlens.operators.sparse import cells, sum_rows, task_helpers
 
 # Parameters of the LDA model.
 LDA_MAX_ITER = 15
@@ -227,37 +228,28 @@ class NmfModel:
             import pandas as pd
 
             for frame in frames:
-                weights, _ = weigh(frame, shared.value, inner)
-                yield pd.DataFrame({"key": frame["key"], "weights": list(weights)})
+                for part, weights, *_ in weigh(frame, shared.value, inner):
+                    yield pd.DataFrame({"key": part["key"].to_numpy(), "weights": list(weights)})
 
-        cells = _cells(vectors.select(F.col(key).alias("key"), vector), vector)
-        result = cells.mapInPandas(run, f"key {key_type}, weights array<double>")
+        found = cells(vectors.select(F.col(key).alias("key"), vector), vector)
+        result = found.mapInPandas(run, f"key {key_type}, weights array<double>")
         return result.withColumnRenamed("key", key)
 
 
-def _cells(df: DataFrame, vector: str) -> DataFrame:
-    sparse = df.withColumn("v", F.unwrap_udt(vector)).drop(vector)
-    return sparse.select("*", F.col("v.indices").alias("i"), F.col("v.values").alias("x")).drop("v")
-
-
 def _weigher():
-    """Weights of a batch of documents for fixed components, by multiplicative updates (a helper of the tasks)."""
+    """Weights of a batch of documents for fixed components, by multiplicative updates (runs inside tasks)."""
+    pieces, row_sums, _ = task_helpers()
 
     def weigh(frame, components, inner):
         import numpy as np
 
-        topics = components.shape[0]
-        sizes = frame["i"].map(len).to_numpy()
-        rows = np.repeat(np.arange(len(frame)), sizes)
-        columns = np.concatenate(frame["i"].to_list()).astype(np.int64) if rows.size else np.empty(0, np.int64)
-        values = np.concatenate(frame["x"].to_list()) if rows.size else np.empty(0)
-        target = np.zeros((len(frame), topics))
-        np.add.at(target, rows, values[:, None] * components.T[columns])
         gram = components @ components.T
-        weights = np.full((len(frame), topics), 1.0 / topics)
-        for _ in range(inner):
-            weights *= target / (weights @ gram + 1e-12)
-        return weights, (rows, columns, values, target)
+        for part, rows, columns, values in pieces(frame):
+            target = row_sums(rows, values[:, None] * components.T[columns], len(part))
+            weights = np.full((len(part), len(components)), 1.0 / len(components))
+            for _ in range(inner):
+                weights *= target / (weights @ gram + 1e-12)
+            yield part, weights, target, rows, columns, values
 
     return weigh
 
@@ -274,47 +266,44 @@ def fit_nmf(
     import numpy as np
 
     spark = vectors.sparkSession
-    cells = _cells(vectors.select(vector), vector)
-    size, mean = vectors.select(
-        F.unwrap_udt(vector)["size"].alias("size"), F.aggregate(F.unwrap_udt(vector)["values"], F.lit(0.0), lambda a, x: a + x).alias("s")
-    ).agg(F.max("size"), F.avg("s")).first()
+    found = cells(vectors.select(vector), vector)
+    opened = F.unwrap_udt(vector)
+    total = F.aggregate(opened["values"], F.lit(0.0), lambda acc, x: acc + x)
+    size, mean = vectors.select(opened["size"].alias("size"), total.alias("s")).agg(F.max("size"), F.avg("s")).first()
     random = np.random.default_rng(seed)
     scale = np.sqrt(max(mean or 0.0, 1e-9) / size / topics)
     components = random.random((topics, size)) * scale + 1e-9
     weigh = _weigher()
+    _, _, column_sums = task_helpers()
     errors = []
     for _ in range(iterations):
         shared = spark.sparkContext.broadcast(components)
 
-        def run(frames: Iterator) -> Iterator:
+        def run(frames: Iterator, shared=shared) -> Iterator:
             import numpy as np
             import pandas as pd
 
             factors = shared.value
-            cross = np.zeros((factors.shape[1], factors.shape[0]))
-            gram = np.zeros((factors.shape[0], factors.shape[0]))
-            error = 0.0
+            own_gram = factors @ factors.T
+            cross, gram, error = np.zeros((factors.shape[1], len(factors))), np.zeros_like(own_gram), 0.0
             for frame in frames:
-                weights, (rows, columns, values, target) = weigh(frame, factors, inner)
-                np.add.at(cross, columns, values[:, None] * weights[rows])
-                part = weights.T @ weights
-                gram += part
-                error += float((values**2).sum() - 2 * (weights * target).sum() + (part * (factors @ factors.T)).sum())
+                for _, weights, target, rows, columns, values in weigh(frame, factors, inner):
+                    cross += column_sums(columns, values[:, None] * weights[rows], len(cross))
+                    part = weights.T @ weights
+                    gram += part
+                    error += float((values**2).sum() - 2 * (weights * target).sum() + (part * own_gram).sum())
             used = np.flatnonzero(cross.any(axis=1))
-            positions = np.arange(len(gram))
             yield pd.DataFrame(
                 {
                     "kind": ["cross"] * len(used) + ["gram"] * len(gram) + ["error"],
-                    "i": np.concatenate([used, positions, [0]]),
+                    "i": np.concatenate([used, np.arange(len(gram)), [0]]),
                     "sums": [*cross[used], *gram, np.array([error] + [0.0] * (len(gram) - 1))],
                 }
             )
 
-        sums = cells.mapInPandas(run, "kind string, i long, sums array<double>")
-        totals = sums.groupBy("kind", "i").agg(*[F.sum(F.col("sums")[j]).alias(f"s{j}") for j in range(topics)])
+        sums = found.mapInPandas(run, "kind string, i long, sums array<double>")
         cross, gram, error = np.zeros((size, topics)), np.zeros((topics, topics)), 0.0
-        # One row per vocabulary term and topic.
-        for row in totals.collect():
+        for row in sum_rows(sums, topics):
             numbers = row[2:]
             if row["kind"] == "cross":
                 cross[row["i"]] = numbers

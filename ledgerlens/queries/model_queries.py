@@ -11,7 +11,7 @@ from ledgerlens.plans import jobs
 from ledgerlens.queries import sql_text as q
 from ledgerlens.queries.registry import query, reports, table, with_reports, with_tables
 from ledgerlens.queries.table_queries import METRICS_SQL, scratch
-from ledgerlens.session import stage
+from ledgerlens.session import compact, stage
 
 ORDER_TOTALS_SQL = """
 totals AS (SELECT l_orderkey, sum(l_extendedprice) / 1000 AS p FROM lineitem GROUP BY l_orderkey),
@@ -304,7 +304,7 @@ def text_scoring_details(spark, folder):
 def feature_vectors(spark, folder):
     rows = feature_rows(spark, folder)
     vector = array_to_vector(F.array(*[F.col(f).cast("double") for f in FEATURES]))
-    return stage(rows.select("report_id", "bhar0_2", vector.alias("features")), "report-features")
+    return compact(stage(rows.select("report_id", "bhar0_2", vector.alias("features")), "report-features"))
 
 
 @query("lasso_fit")
@@ -351,7 +351,7 @@ def cross_validate(spark, folder):
 def forest_report(spark, folder):
     """A random forest of 50 trees and its report on the validation part."""
     labelled = split.add_label(feature_vectors(spark, folder), "bhar0_2")
-    parts = stage(split.stratified_split(labelled, "report_id"), "forest-parts")
+    parts = compact(stage(split.stratified_split(labelled, "report_id"), "forest-parts"))
     model = models.build("RandomForest", {"trees": 50, "depth": 5}).fit(parts.where("split = 'train'"))
     scored = model.transform(parts.where("split = 'val'"))
     return evaluate.classification_report(scored, "label", "prediction")
@@ -360,7 +360,7 @@ def forest_report(spark, folder):
 @query("evaluate_classifier")
 def evaluate_classifier(spark, folder):
     labelled = split.add_label(feature_vectors(spark, folder), "bhar0_2")
-    parts = stage(split.stratified_split(labelled, "report_id"), "evaluate-parts")
+    parts = compact(stage(split.stratified_split(labelled, "report_id"), "evaluate-parts"))
     model = models.build("LogisticRegression", {"C": 1.0}, rows=10_000).fit(parts.where("split = 'train'"))
     return models.evaluate_classifier(model, parts.where("split = 'test'"))
 

@@ -67,3 +67,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted, key)
+
+
+def compact(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
+    """Fewer partitions for a small table that is read many times, as by an iterative fit.
+
+    Each pass then starts fewer tasks. A large table keeps its partitions, and nothing is shuffled.
+    """
+    wanted = max(1, -(-df.count() // rows_per_partition))
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
