@@ -97,9 +97,10 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     Rows are first reduced to one per distinct score, then the negatives below each score come from a running total
     over score ranges.
     """
-    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-    by_score = known.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    # Rows without a score count nowhere. A filter would say the same, but it would compute a costly score twice.
+    known = F.col(score).isNotNull()
+    by_score = df.groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.count_if(known & (F.col(label) == 1)).alias("pos"), F.count_if(known & (F.col(label) != 1)).alias("neg")
     )
     # The scores may come from costly text work and are read three times.
     running = add_running_total(stage(by_score, "scores"), "score", "neg", "below")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import as_column, let
 from ledgerlens.functions.text import SPACE_CHARS
-from ledgerlens.operators.sparse import cells, task_helpers, sum_rows
+from ledgerlens.operators.sparse import cells, sum_rows, task_helpers
 from ledgerlens.operators.topics import LDA_FEATURE_ITER, fit_lda
-from ledgerlens.operators.vectorize import FittedVectorizer, fit_vectorizer, terms_of
+from ledgerlens.operators.vectorize import FittedVectorizer, Vocabulary, fit_vocabulary, terms_of, vectorizer
+from ledgerlens.session import stage
 
 STATISTICS = ["word_count", "char_count", "sentence_count", "avg_word_length", "avg_sentence_length"]
 # Components of the semantic features, rounds and spare directions of the solver.
@@ -48,25 +50,20 @@ class LsaModel:
     def __init__(self, components, singular_values):
         self.components, self.singular_values = components, singular_values
 
-    def transform(self, df: DataFrame, key: str, vector: str, output: str = "semantic") -> DataFrame:
-        """Coordinates of documents, ``U s = X V``: ``(key, array of k numbers)``."""
-        key_type = df.schema[key].dataType.simpleString()
+    def transform(self, df: DataFrame, vector: str, output: str = "semantic") -> DataFrame:
+        """Add the coordinates of the documents, ``U s = X V``, as an array of k numbers."""
         shared = df.sparkSession.sparkContext.broadcast(self.components)
-
         pieces, row_sums, _ = task_helpers()
 
-        def run(frames: Iterator) -> Iterator:
-            import pandas as pd
-
-            right = shared.value
-            for frame in frames:
-                for part, rows, columns, values in pieces(frame):
-                    scores = row_sums(rows, values[:, None] * right[columns], len(part))
-                    yield pd.DataFrame({"key": part["key"].to_numpy(), "x": list(scores)})
+        @F.pandas_udf("array<double>")
+        def project(i: pd.Series, x: pd.Series) -> pd.Series:
+            right, scores = shared.value, []
+            for part, rows, columns, values in pieces(pd.DataFrame({"i": i, "x": x})):
+                scores.extend(row_sums(rows, values[:, None] * right[columns], len(part)))
+            return pd.Series(scores)
 
-        found = cells(df.select(F.col(key).alias("key"), vector), vector)
-        scored = found.mapInPandas(run, f"key {key_type}, x array<double>")
-        return scored.select(F.col("key").alias(key), F.col("x").alias(output))
+        sparse = F.unwrap_udt(vector)
+        return df.withColumn(output, project(sparse["indices"], sparse["values"]))
 
 
 def fit_lsa(
@@ -134,10 +131,19 @@ def explained_variance(scores: DataFrame, column: str, vectors: DataFrame, vecto
 
 
 def fit_word_vectors(df: DataFrame, text: str, size: int = 50, min_count: int = 5, seed: int = 42):
-    """Word vectors averaged per document (I6); the model keeps ``size`` numbers per frequent word."""
+    """Word vectors averaged per document (I6); the model keeps ``size`` numbers per frequent word.
+
+    The training is split into as many parts as the table has partitions; Spark's own default is one task for all.
+    """
     terms = df.select(terms_of(F.coalesce(F.col(text), F.lit("")), bigrams=False).alias("_terms"))
     return Word2Vec(
-        vectorSize=size, minCount=min_count, seed=seed, inputCol="_terms", outputCol="embedding", maxIter=1
+        vectorSize=size,
+        minCount=min_count,
+        seed=seed,
+        inputCol="_terms",
+        outputCol="embedding",
+        maxIter=1,
+        numPartitions=df.rdd.getNumPartitions(),
     ).fit(terms)
 
 
@@ -180,13 +186,15 @@ class Embedder:
         self.model = None
         self.text: str | None = None
 
-    def fit(self, df: DataFrame, text: str) -> Embedder:
+    def fit(self, df: DataFrame, text: str, vocabulary: Vocabulary | None = None) -> Embedder:
+        """Fit on a text column; a vocabulary that was fitted before saves the pass over the texts."""
         self.text = text
         if self.method == "word2vec":
             self.model = fit_word_vectors(df, text)
         else:
             method = "tfidf" if self.method == "tfidf" else "count"
-            self.model = fit_vectorizer(df, text, method, self.max_features, output="embedding")
+            vocabulary = vocabulary or fit_vocabulary(df, text, self.max_features)
+            self.model = vectorizer(vocabulary, text, method, output="embedding")
         return self
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -242,20 +250,22 @@ class FeatureBundle:
         self.lsa: LsaModel | None = None
         self.lda = None
 
-    def fit(self, df: DataFrame) -> FeatureBundle:
-        self.vectorizer = fit_vectorizer(df, self.text, "count", self.max_features, output="dtm")
-        vectors = self.vectorizer.transform(df.select(self.text)).select("dtm").persist()
-        try:
-            if self.use["semantic"]:
-                self.lsa = fit_lsa(vectors, "dtm", self.semantic_components)
-            if self.use["topics"]:
-                self.lda = fit_lda(vectors, "dtm", self.topics, self.topic_iterations)
-        finally:
-            vectors.unpersist()
+    def fit(self, df: DataFrame, vocabulary: Vocabulary | None = None) -> FeatureBundle:
+        vocabulary = vocabulary or fit_vocabulary(df, self.text, self.max_features)
+        self.vectorizer = vectorizer(vocabulary, self.text, "count", output="dtm")
+        # The solvers read the matrix many times.
+        vectors = stage(self.vectorizer.transform(df.select(self.text)).select("dtm"), "dtm")
+        if self.use["semantic"]:
+            self.lsa = fit_lsa(vectors, "dtm", self.semantic_components)
+        if self.use["topics"]:
+            self.lda = fit_lda(vectors, "dtm", self.topics, self.topic_iterations)
         return self
 
-    def transform(self, df: DataFrame, key: str) -> DataFrame:
-        """Add the feature vectors that are switched on, the matrix row ``dtm``, and all of them as ``features``."""
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add the feature vectors that are switched on, the matrix row ``dtm``, and all of them as ``features``.
+
+        Everything is computed in the row of its document, so no table is joined.
+        """
         if self.vectorizer is None:
             raise ValueError("the feature bundle is not fitted")
         result = self.vectorizer.transform(df)
@@ -264,8 +274,8 @@ class FeatureBundle:
         if self.lda is not None:
             result = self.lda.setTopicDistributionCol("topics").transform(result)
         if self.lsa is not None:
-            semantic = self.lsa.transform(result, key, "dtm")
-            result = result.join(semantic.select(key, array_to_vector("semantic").alias("semantic")), key)
+            result = self.lsa.transform(result, "dtm")
+            result = result.withColumn("semantic", array_to_vector("semantic"))
         sets = [name for name, used in self.use.items() if used]
         return combine_features(result, sets, sets)
 

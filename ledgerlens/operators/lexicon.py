@@ -42,12 +42,11 @@ def lexicon_flags(lexicon: DataFrame) -> DataFrame:
 def score_with_lexicon_table(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Scores from a lexicon table of any size (C2, D23): ``(key, six scores)``.
 
-    Tokens are counted per text and term before they meet the lexicon. The lexicon is broadcast only when it is
-    checked to be small.
+    The lexicon is broadcast when it is checked to be small; tokens then meet it where they are, and only one partial sum
+    per text is shuffled.
     """
     tokens = df.select(key, F.explode_outer(word_tokens(text)).alias("term"))
-    counts = tokens.groupBy(key, "term").agg(F.count("term").alias("tf"))
-    return scores_from_counts(counts, key, lexicon)
+    return scores_from_counts(tokens.withColumn("tf", F.col("term").isNotNull().cast("long")), key, lexicon)
 
 
 def scores_from_counts(counts: DataFrame, key: str, lexicon: DataFrame) -> DataFrame:

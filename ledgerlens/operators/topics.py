@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.ml.clustering import LDA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -123,18 +125,38 @@ def label_topics(doc_topics: DataFrame, lists: DataFrame, n: int = 10) -> DataFr
     return doc_topics.join(F.broadcast(words), "topic", "left")
 
 
-def umass_coherence(documents: DataFrame, tokens: Column | str, top: DataFrame, group: str = "topic") -> DataFrame:
+def umass_coherence(
+    documents: DataFrame, tokens: Column | str, top: DataFrame, group: str = "topic", topics_per_pass: int = 50
+) -> DataFrame:
     """UMass coherence of every topic (D20): ``(topic, umass)``.
 
-    ``top`` holds topics x n ranked words, a model-sized table that is fetched. A document is first cut down to the top
-    words it holds, in its own row. Pairs are looked up there and counted with partial sums, so what leaves a task is
-    at most one row per pair of top words of one topic. For a pair (word, earlier word) the value is
-    ``ln((both / N + epsilon) / (earlier / N))``.
+    ``top`` holds topics x n ranked words, a table of the size of the model. For a pair (word, earlier word) the value
+    is ``ln((both / N + epsilon) / (earlier / N))``. Topics are counted in passes over the documents of
+    ``topics_per_pass`` topics each, which bounds what a pass looks up and fetches.
     """
-    spark = documents.sparkSession
+    total = documents.count()
     ranked: dict = {}
     for row in top.orderBy(group, "rank").collect():
         ranked.setdefault(row[group], []).append(row["term"])
+    names = list(ranked)
+    rows = []
+    for start in range(0, len(names), topics_per_pass):
+        part = {name: ranked[name] for name in names[start : start + topics_per_pass]}
+        rows += _pair_counts(documents, tokens, part)
+    group_type = top.schema[group].dataType.simpleString()
+    table = documents.sparkSession.createDataFrame(rows, f"{group} {group_type}, both long, earlier long")
+    value = F.when(F.col("earlier") == 0, 0.0).otherwise(
+        F.log((F.col("both") / F.lit(total) + F.lit(COHERENCE_EPSILON)) / (F.col("earlier") / F.lit(total)))
+    )
+    return table.groupBy(group).agg(F.avg(value).alias("umass"))
+
+
+def _pair_counts(documents: DataFrame, tokens: Column | str, ranked: dict) -> list[tuple]:
+    """Documents with both words, and with the earlier word, for every pair of words of one topic.
+
+    A document is first cut down to the top words it holds, in its own row. Pairs are looked up there and counted with
+    partial sums, so what leaves a task is at most one row per pair of top words of one topic.
+    """
     words = sorted({w for terms in ranked.values() for w in terms})
     number = {w: i for i, w in enumerate(words)}
     pairs = sorted(
@@ -148,13 +170,10 @@ def umass_coherence(documents: DataFrame, tokens: Column | str, top: DataFrame,
     partners: dict[int, list[int]] = {}
     for a, b in pairs:
         partners.setdefault(a, []).append(b)
-    total = documents.count()
     known = F.array_distinct(F.filter(as_column(tokens), lambda t: t.isin(words)))
     seen = documents.select(known.alias("w")).where(F.size("w") > 0)
-    # Singles and pairs of one document as "word" or "word<separator>word".
-    partner_map = F.create_map(
-        *[x for a, bs in partners.items() for x in (F.lit(words[a]), F.array(*[F.lit(words[b]) for b in bs]))]
-    )
+    listed = json.dumps({words[a]: [words[b] for b in bs] for a, bs in partners.items()}, ensure_ascii=False)
+    partner_map = F.from_json(F.lit(listed), "map<string, array<string>>")
     found = F.flatten(
         F.transform(
             "w",
@@ -173,12 +192,7 @@ def umass_coherence(documents: DataFrame, tokens: Column | str, top: DataFrame,
             for b in terms[:i]:
                 low, high = (a, b) if number[a] < number[b] else (b, a)
                 rows.append((topic, counts.get((low, high), 0), counts.get((b, b), 0)))
-    group_type = top.schema[group].dataType.simpleString()
-    table = spark.createDataFrame(rows, f"{group} {group_type}, both long, earlier long")
-    value = F.when(F.col("earlier") == 0, 0.0).otherwise(
-        F.log((F.col("both") / F.lit(total) + F.lit(COHERENCE_EPSILON)) / (F.col("earlier") / F.lit(total)))
-    )
-    return table.groupBy(group).agg(F.avg(value).alias("umass"))
+    return rows
 
 
 def tune_topics(
@@ -217,23 +231,21 @@ class NmfModel:
     def __init__(self, components, errors: list[float], inner: int):
         self.components, self.errors, self.inner = components, errors, inner
 
-    def transform(self, vectors: DataFrame, key: str, vector: str) -> DataFrame:
-        """Topic weights of documents with the components held fixed (I13): ``(key, weights)``."""
-        key_type = vectors.schema[key].dataType.simpleString()
+    def transform(self, vectors: DataFrame, vector: str, output: str = "weights") -> DataFrame:
+        """Add the topic weights of documents with the components held fixed."""
         shared = vectors.sparkSession.sparkContext.broadcast(self.components)
         inner = self.inner
         weigh = _weigher()
 
-        def run(frames: Iterator) -> Iterator:
-            import pandas as pd
-
-            for frame in frames:
-                for part, weights, *_ in weigh(frame, shared.value, inner):
-                    yield pd.DataFrame({"key": part["key"].to_numpy(), "weights": list(weights)})
+        @F.pandas_udf("array<double>")
+        def solve(i: pd.Series, x: pd.Series) -> pd.Series:
+            found = []
+            for _, weights, *_ in weigh(pd.DataFrame({"i": i, "x": x}), shared.value, inner):
+                found.extend(weights)
+            return pd.Series(found)
 
-        found = cells(vectors.select(F.col(key).alias("key"), vector), vector)
-        result = found.mapInPandas(run, f"key {key_type}, weights array<double>")
-        return result.withColumnRenamed("key", key)
+        sparse = F.unwrap_udt(vector)
+        return vectors.withColumn(output, solve(sparse["indices"], sparse["values"]))
 
 
 def _weigher():

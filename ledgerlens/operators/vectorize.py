@@ -21,6 +21,7 @@ from ledgerlens.functions.wordlists import ENGLISH_STOP_WORDS
 # Vocabulary limits.
 MAX_FEATURES = 5000
 MAX_DOC_FREQ = 0.95
+METHODS = ("count", "tfidf")
 
 
 def terms_of(text: Column | str, bigrams: bool = True) -> Column:
@@ -49,6 +50,16 @@ def top_terms(stats: DataFrame, documents: int, max_features: int, max_df: float
     return kept.orderBy(F.desc("cf"), "term").limit(max_features)
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """Terms in alphabetical order with the documents that hold them, and the number of all documents."""
+
+    terms: list[str]
+    document_frequency: list[int]
+    documents: int
+    bigrams: bool = True
+
+
 @dataclass(frozen=True)
 class FittedVectorizer:
     """A fitted vectoriser: an ML pipeline and its vocabulary."""
@@ -59,7 +70,7 @@ class FittedVectorizer:
     output: str
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Add the vector column; the vocabulary stays as fitted (A reuse never refits)."""
+        """Add the vector column; the vocabulary stays as fitted."""
         return self.model.transform(df).drop("_terms", "_counts", "_weighted")
 
     def long(self, df: DataFrame, key: str, value: str = "tf") -> DataFrame:
@@ -106,25 +117,38 @@ def fit_vectorizer(
     TF-IDF uses the smoothed weight ``ln((1 + n) / (1 + df)) + 1`` and rows of length 1. The vocabulary is in
     alphabetical order.
     """
-    if method not in ("count", "tfidf"):
+    if method not in METHODS:
         raise ValueError(f"unknown vectorisation method: {method}")
+    return vectorizer(fit_vocabulary(df, text, max_features, bigrams, max_df), text, method, output)
+
+
+def fit_vocabulary(
+    df: DataFrame, text: str, max_features: int = MAX_FEATURES, bigrams: bool = True, max_df: float = MAX_DOC_FREQ
+) -> Vocabulary:
+    """The one step that shuffles: count all terms and keep the best ``max_features``, in alphabetical order."""
     documents = df.count()
     stats = term_statistics(df.select(terms_of(F.coalesce(F.col(text), F.lit("")), bigrams).alias("terms")))
     # Bounded by max_features.
     rows = sorted(top_terms(stats, documents, max_features, max_df).collect(), key=lambda r: r["term"])
     if not rows:
         raise ValueError("no terms remain after the vocabulary limits")
-    vocabulary = [r["term"] for r in rows]
-    terms = SQLTransformer(statement=terms_statement(text, bigrams))
+    return Vocabulary([r["term"] for r in rows], [r["df"] for r in rows], documents, bigrams)
+
+
+def vectorizer(vocabulary: Vocabulary, text: str, method: str = "count", output: str = "vector") -> FittedVectorizer:
+    """Count or TF-IDF vectoriser over a fitted vocabulary; several may share one."""
+    if method not in METHODS:
+        raise ValueError(f"unknown vectorisation method: {method}")
+    terms = SQLTransformer(statement=terms_statement(text, vocabulary.bigrams))
     if method == "count":
-        counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol=output)
+        counter = CountVectorizerModel.from_vocabulary(vocabulary.terms, inputCol="_terms", outputCol=output)
         stages = [terms, counter]
     else:
-        counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_terms", outputCol="_counts")
-        idf = [math.log((1 + documents) / (1 + r["df"])) + 1 for r in rows]
+        counter = CountVectorizerModel.from_vocabulary(vocabulary.terms, inputCol="_terms", outputCol="_counts")
+        idf = [math.log((1 + vocabulary.documents) / (1 + n)) + 1 for n in vocabulary.document_frequency]
         weigh = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_counts", outputCol="_weighted")
         stages = [terms, counter, weigh, Normalizer(p=2.0, inputCol="_weighted", outputCol=output)]
-    return FittedVectorizer(PipelineModel(stages), vocabulary, text, output)
+    return FittedVectorizer(PipelineModel(stages), vocabulary.terms, text, output)
 
 
 def vector_cells(df: DataFrame, key: str, vector: str, names: list[str], value: str) -> DataFrame:

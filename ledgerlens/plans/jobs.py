@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import metrics, sentiment, signals
 from ledgerlens.functions.text import clean_sentences, word_count
 from ledgerlens.operators import features, models, profile, split, topics, versions
-from ledgerlens.operators.vectorize import MAX_FEATURES, fit_vectorizer
+from ledgerlens.operators.vectorize import MAX_FEATURES, fit_vocabulary, vectorizer
 from ledgerlens.session import stage
 from ledgerlens.sources import tables
 
@@ -47,16 +47,19 @@ def prepare(df: DataFrame, config: JobConfig) -> DataFrame:
 
 
 def data_job(reports: DataFrame, folder: str, config: JobConfig, source: str = "") -> dict:
-    """Load, clean, profile, label, split, save and register."""
+    """Load, clean, profile, label, split, save and register.
+
+    Texts are cleaned once, in the map that writes the splits: the split itself reads keys and labels only, and the
+    statistics come from the written table.
+    """
     spark = reports.sparkSession
     version = versions.content_version(reports)
-    prepared = stage(prepare(reports, config), "prepared")
-    statistics = profile.text_statistics(prepared, "clean_sent").first()
     parts = split.stratified_split(
-        prepared, config.key, "label", config.test_size, config.val_size, config.seed
+        prepare(reports, config), config.key, "label", config.test_size, config.val_size, config.seed
     )
     tables.write_splits(parts, f"{folder}/splits", version)
     saved = tables.read_splits(spark, f"{folder}/splits", version)
+    statistics = profile.text_statistics(saved, "clean_sent").first()
     balance = {r["split"]: r for r in split.class_balance(saved).collect()}
     sizes = {name: balance[name]["n"] if name in balance else 0 for name in ("train", "val", "test")}
     record = {
@@ -87,11 +90,12 @@ def analysis_job(spark: SparkSession, folder: str, config: JobConfig, version: s
     splits = tables.read_splits(spark, f"{folder}/splits", version)
     text = profile.text_column(splits, ("clean_sent", "ea_text"))
     train = profile.fill_text(splits.where("split = 'train'"), text)
-    embedder = features.Embedder(config.embedding, config.max_features).fit(train, text)
+    vocabulary = fit_vocabulary(train, text, config.max_features)
+    embedder = features.Embedder(config.embedding, config.max_features).fit(train, text, vocabulary)
     scored = train.select(config.key, F.col("label"), sentiment.analyze(text).alias("s")).select(
         config.key, "label", "s.*"
     )
-    counter = fit_vectorizer(train, text, "count", config.max_features)
+    counter = vectorizer(vocabulary, text)
     vectors = stage(counter.transform(train.select(config.key, text)), "vectors")
     count = config.topics
     tuning = None
@@ -108,8 +112,8 @@ def analysis_job(spark: SparkSession, folder: str, config: JobConfig, version: s
         weights = topics.topic_word_weights(spark, topic_model.topicsMatrix().toArray(), counter.vocabulary)
     bundle = features.FeatureBundle(
         text, config.max_features, config.semantic_components, count, topic_iterations=topics.LDA_FEATURE_ITER
-    ).fit(train)
-    table = stage(bundle.transform(train, config.key).select(config.key, config.returns, "features"), "features")
+    ).fit(train, vocabulary)
+    table = stage(bundle.transform(train).select(config.key, config.returns, "features"), "features")
     usable = table.where(F.col(config.returns).isNotNull())
     fitted = models.lasso(config.alpha, label=config.returns).fit(usable)
     importance = models.coefficient_table(spark, fitted.coefficients, bundle.names())

@@ -377,7 +377,7 @@ def feature_bundle(spark, folder):
     """Statistical, semantic and topic features of documents as named columns."""
     docs = stage(table(spark, folder, "documents").select("doc_id", "text"), "bundle-texts")
     bundle = features.FeatureBundle("text", 500, 5, 5, topic_iterations=5).fit(docs)
-    combined = bundle.transform(docs, "doc_id").select("doc_id", "features")
+    combined = bundle.transform(docs).select("doc_id", "features")
     return features.vector_columns(combined, "features", bundle.names(), ["doc_id"])
 
 

@@ -309,19 +309,20 @@ def lda_topic_words(spark, folder):
 def nmf_topics(spark, folder):
     vectors, _ = matrix(spark, folder, 500, "tfidf")
     model = topics.fit_nmf(vectors, "vector", 8, iterations=8)
-    return model.transform(vectors, "doc_id", "vector")
+    return model.transform(vectors, "vector").select("doc_id", "weights")
 
 
 @query("svd_features")
 def svd_features(spark, folder):
     vectors, _ = matrix(spark, folder, 500, "tfidf")
-    return features.fit_lsa(vectors, "vector", 10).transform(vectors, "doc_id", "vector")
+    scored = features.fit_lsa(vectors, "vector", 10).transform(vectors, "vector")
+    return scored.select("doc_id", "semantic")
 
 
 @query("svd_explained_variance")
 def svd_explained_variance(spark, folder):
     vectors, _ = matrix(spark, folder, 500, "tfidf")
-    scores = stage(features.fit_lsa(vectors, "vector", 10).transform(vectors, "doc_id", "vector"), "lsa")
+    scores = stage(features.fit_lsa(vectors, "vector", 10).transform(vectors, "vector").select("semantic"), "lsa")
     return features.explained_variance(scores, "semantic", vectors, "vector", 500)
 
 

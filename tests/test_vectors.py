@@ -91,6 +91,7 @@ def test_umass(spark, texts):
     )
     tokens = F.split(F.coalesce("t", F.lit("")), " ")
     got = dict(values(topics.umass_coherence(texts, tokens, top)))
+    assert dict(values(topics.umass_coherence(texts, tokens, top, topics_per_pass=1))) == pytest.approx(got)
     docs = [set((text or "").split()) for _, text in TEXTS]
     assert got[0] == pytest.approx(brute_umass(docs, ["growth", "revenue", "outlook"]))
     assert got[1] == pytest.approx(brute_umass(docs, ["revenue", "weak"]))
@@ -126,9 +127,9 @@ def test_lsa_against_full_svd(spark):
     exact = np.linalg.svd(dense, compute_uv=False)[:4]
     assert model.singular_values == pytest.approx(exact, rel=1e-6)
     assert model.components.T @ model.components == pytest.approx(np.eye(4), abs=1e-8)
-    scores = dict(values(model.transform(df, "k", "v")))
+    scores = dict(values(model.transform(df, "v").select("k", "semantic")))
     assert np.array([scores[i] for i in range(60)]) == pytest.approx(dense @ model.components, abs=1e-9)
-    shares = features.explained_variance(model.transform(df, "k", "v"), "semantic", df, "v", 12)
+    shares = features.explained_variance(model.transform(df, "v"), "semantic", df, "v", 12)
     expected = (dense @ model.components).var(axis=0) / dense.var(axis=0).sum()
     assert [r["ratio"] for r in shares.orderBy("component").collect()] == pytest.approx(list(expected))
 
@@ -137,7 +138,7 @@ def test_nmf_error_falls(spark):
     dense, df = matrix(spark)
     model = topics.fit_nmf(df, "v", 3, iterations=12)
     assert all(b <= a + 1e-9 for a, b in zip(model.errors, model.errors[1:]))
-    weights = dict(values(model.transform(df, "k", "v")))
+    weights = dict(values(model.transform(df, "v").select("k", "weights")))
     w = np.array([weights[i] for i in range(60)])
     assert (w >= 0).all() and (model.components >= 0).all()
     assert ((dense - w @ model.components) ** 2).sum() <= model.errors[0]
@@ -211,6 +212,6 @@ def test_plugin_encoder_and_bundle_names(spark, texts):
     coded = features.encode_texts(texts, "k", "t", lambda: lambda batch: [[len(t)] for t in batch], batch=2)
     assert dict((k, v[0]) for k, v in values(coded)) == {k: float(len(t or "")) for k, t in TEXTS}
     bundle = features.FeatureBundle("t", 10, 2, 2, semantic=False, topic_iterations=2).fit(texts.fillna({"t": ""}))
-    out = bundle.transform(texts.fillna({"t": ""}), "k")
+    out = bundle.transform(texts.fillna({"t": ""}))
     assert bundle.names() == ["stat_0", "stat_1", "stat_2", "stat_3", "stat_4", "topic_0", "topic_1"]
     assert out.select(F.size(vector_to_array("features"))).first()[0] == 7
