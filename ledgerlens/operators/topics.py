@@ -76,7 +76,7 @@ def word_lists(top: DataFrame, group: str = "topic") -> DataFrame:
     return top.groupBy(group).agg(F.transform(pairs, lambda p: p["term"]).alias("words"))
 
 
-def topic_words(top: DataFrame, topic: int, n: int = 10) -> DataFrame:
+def topic_words(top: DataFrame, topic: int | str, n: int = 10) -> DataFrame:
     """Ranked words of one topic (E2); none for an unknown topic."""
     return top.where((F.col("topic") == topic) & (F.col("rank") <= n)).orderBy("rank")
 

@@ -15,7 +15,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.text import MIN_TOKEN_LENGTH, WORD_CHARS, vocabulary_tokens, with_bigrams
+from ledgerlens.functions.text import MIN_TOKEN_LENGTH, WORD_CHARS, vocabulary_tokens, with_bigrams, word_count
 from ledgerlens.functions.wordlists import ENGLISH_STOP_WORDS
 
 # Vocabulary limits.
@@ -160,10 +160,16 @@ def vector_cells(df: DataFrame, key: str, vector: str, names: list[str], value:
 
 
 def matrix_statistics(df: DataFrame, vectorizer: FittedVectorizer) -> DataFrame:
-    """Documents, vocabulary size and density of the matrix."""
+    """Word counts, documents, vocabulary size and density of the matrix, in one pass."""
     size = len(vectorizer.vocabulary)
-    filled = vectorizer.transform(df).select(F.size(F.unwrap_udt(vectorizer.output)["indices"]).alias("n"))
+    filled = vectorizer.transform(df).select(
+        word_count(vectorizer.text).alias("words"), F.size(F.unwrap_udt(vectorizer.output)["indices"]).alias("n")
+    )
     return filled.agg(
+        F.avg("words").alias("mean_length"),
+        F.median("words").alias("median_length"),
+        F.min("words").alias("min_length"),
+        F.max("words").alias("max_length"),
         F.count(F.lit(1)).alias("total_documents"),
         F.lit(size).alias("vocabulary_size"),
         F.try_divide(F.sum("n"), F.count(F.lit(1)) * size).alias("density"),

@@ -9,9 +9,10 @@ from ledgerlens.functions import metrics, sentiment
 from ledgerlens.operators import evaluate, features, models, split
 from ledgerlens.plans import jobs
 from ledgerlens.queries import sql_text as q
-from ledgerlens.queries.registry import query, reports, table, with_reports, with_tables
-from ledgerlens.queries.table_queries import METRICS_SQL, scratch
+from ledgerlens.queries.registry import query, reports, scratch, table, with_reports, with_tables
+from ledgerlens.queries.table_queries import METRICS_SQL
 from ledgerlens.session import compact, stage
+from ledgerlens.sources import models as saved
 
 ORDER_TOTALS_SQL = """
 totals AS (SELECT l_orderkey, sum(l_extendedprice) / 1000 AS p FROM lineitem GROUP BY l_orderkey),
@@ -314,6 +315,13 @@ def lasso_fit(spark, folder):
     return models.coefficient_table(spark, fitted.coefficients, FEATURES)
 
 
+@query("lasso_nonzero")
+def lasso_nonzero(spark, folder):
+    """Coefficients other than 0 of a Lasso, highest first."""
+    fitted = models.lasso(1e-4, label="bhar0_2").fit(feature_vectors(spark, folder))
+    return models.nonzero_coefficients(models.coefficient_table(spark, fitted.coefficients, FEATURES))
+
+
 @query("lasso_search")
 def lasso_search(spark, folder):
     """Random search over alpha with cross-validation: score of every candidate."""
@@ -381,6 +389,17 @@ def feature_bundle(spark, folder):
     return features.vector_columns(combined, "features", bundle.names(), ["doc_id"])
 
 
+@query("feature_bundle_reload")
+def feature_bundle_reload(spark, folder):
+    """The same features from a bundle that was saved and loaded again."""
+    docs = stage(table(spark, folder, "documents").select("doc_id", "text"), "bundle-texts")
+    path = scratch(spark, "bundle")
+    saved.save_features(spark, features.FeatureBundle("text", 300, 3, 3, topic_iterations=3).fit(docs), path)
+    bundle = saved.load_features(spark, path)
+    combined = bundle.transform(docs).select("doc_id", "features")
+    return features.vector_columns(combined, "features", bundle.names(), ["doc_id"])
+
+
 def job_config():
     return jobs.JobConfig(
         returns="bhar0_2", topics=5, max_features=200, semantic_components=5, alpha=1e-5, top=10

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.session import spread
+from ledgerlens.session import shared_folder, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """Path for files that a query writes and reads back."""
+    return f"{shared_folder(spark)}/ledgerlens/{spark.sparkContext.applicationId}/{name}"
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents, spread over the cores because the text work per row is heavy."""
     return spread(table(spark, folder, "documents"), "doc_id")

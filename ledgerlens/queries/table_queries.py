@@ -8,8 +8,7 @@ from ledgerlens.functions import metrics, sentiment, signals, text
 from ledgerlens.functions.wordlists import KEYWORD_TOPICS, NEGATIVE_PHRASE_WORDS, POSITIVE_PHRASE_WORDS
 from ledgerlens.operators import features, profile, split, versions
 from ledgerlens.queries import sql_text as q
-from ledgerlens.queries.registry import documents, query, reports, table, with_reports, with_tables
-from ledgerlens.session import shared_folder
+from ledgerlens.queries.registry import documents, query, reports, scratch, table, with_reports, with_tables
 from ledgerlens.sources import tables
 
 METRICS = list(metrics.METRIC_PATTERNS)
@@ -20,10 +19,6 @@ METRICS_SQL = "metrics AS (SELECT report_id, " + ", ".join(
 ) + " FROM reports)"
 
 
-def scratch(spark, name):
-    return f"{shared_folder(spark)}/ledgerlens/{spark.sparkContext.applicationId}/{name}"
-
-
 @query("financial_metrics", with_reports(f"SELECT report_id, {', '.join(METRICS)} FROM metrics", METRICS_SQL))
 def financial_metrics(spark, folder):
     return reports(spark, folder).select("report_id", *metrics.financial_metrics("ea_text").values())
@@ -259,6 +254,24 @@ def dataset_overview(spark, folder):
     return profile.overview(reports(spark, folder))
 
 
+@query(
+    "column_kinds",
+    with_reports(
+        """SELECT * FROM (VALUES ('text', 'ea_text'), ('text', 'segment'), ('numeric', 'report_id'),
+        ('numeric', 'bhar0_2'), ('date', 'report_date')) v(kind, name), (SELECT count(*) AS n FROM reports)"""
+    ),
+)
+def column_kinds(spark, folder):
+    """Columns by kind, with the number of rows that hold a value."""
+    rows = reports(spark, folder)
+    kinds = [(kind, name) for kind, names in profile.columns_by_kind(rows).items() for name in names]
+    filled = rows.agg(*[F.count(name).alias(name) for _, name in kinds])
+    pairs = F.array(
+        *[F.struct(F.lit(k).alias("kind"), F.lit(n).alias("name"), F.col(n).alias("n")) for k, n in kinds]
+    )
+    return filled.select(F.inline(pairs))
+
+
 @query(
     "preview_rows",
     with_reports(

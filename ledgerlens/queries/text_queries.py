@@ -396,6 +396,22 @@ def chunk_mean(spark, folder):
     return rounded(scored, ["doc_id", F.col("chunks").cast("long").alias("chunks")], columns, 9)
 
 
+@query(
+    "custom_analyzer",
+    """SELECT doc_id, len(regexp_extract_all(text, '[A-Z]'))::DOUBLE AS capitals,
+    (length(text) - length(replace(text, '!', '')))::DOUBLE AS shouts FROM documents""",
+)
+def custom_analyzer(spark, folder):
+    """A user analyser ``text -> dict`` that is registered by name and called from SQL."""
+
+    def analyse(value):
+        return {"capitals": float(sum("A" <= c <= "Z" for c in value)), "shouts": float(value.count("!"))}
+
+    lexicon.custom_analyzer("capital_letters", analyse, ["capitals", "shouts"], spark)
+    scored = documents(spark, folder).select("doc_id", F.call_function("capital_letters", F.col("text")).alias("s"))
+    return scored.select("doc_id", "s.*")
+
+
 def letter_scorer():
     def score(chunks):
         return [

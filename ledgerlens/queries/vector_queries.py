@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.text import vocabulary_tokens, word_tokens
 from ledgerlens.operators import evaluate, features, topics, vectorize
 from ledgerlens.queries import sql_text as q
-from ledgerlens.queries.registry import documents, query, table, with_tables
+from ledgerlens.queries.registry import documents, query, scratch, table, with_tables
 from ledgerlens.session import stage
+from ledgerlens.sources import models as saved
 
 VOCABULARY_SIZE = 1000
 
@@ -97,8 +98,11 @@ def tfidf_long(spark, folder):
     with_tables(
         """SELECT docs AS total_documents, (SELECT count(*) FROM vocabulary) AS vocabulary_size,
         round((SELECT count(*) FROM cells JOIN vocabulary USING (term))
-          / (docs * (SELECT count(*) FROM vocabulary)), 9) AS density FROM size""",
+          / (docs * (SELECT count(*) FROM vocabulary)), 9) AS density, round(mean, 6) AS mean_length,
+        med AS median_length, lo AS min_length, hi AS max_length FROM size, lengths""",
         TERMS_SQL,
+        f"""lengths AS (SELECT avg(n) AS mean, median(n)::DOUBLE AS med, min(n) AS lo, max(n) AS hi
+        FROM (SELECT {q.word_count('text')} AS n FROM documents))""",
     ),
 )
 def matrix_density(spark, folder):
@@ -108,6 +112,10 @@ def matrix_density(spark, folder):
         "total_documents",
         F.col("vocabulary_size").cast("long").alias("vocabulary_size"),
         F.round("density", 9).alias("density"),
+        F.round("mean_length", 6).alias("mean_length"),
+        "median_length",
+        F.col("min_length").cast("long").alias("min_length"),
+        F.col("max_length").cast("long").alias("max_length"),
     )
 
 
@@ -364,15 +372,49 @@ def plugin_embeddings(spark, folder):
     return encoded.select("doc_id", *[F.col("embedding")[i].alias(f"x{i}") for i in range(3)])
 
 
-@query("embedder_reload")
+@query(
+    "embedder_reload",
+    with_tables(
+        """SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS tfidf FROM weighted""",
+        TERMS_SQL,
+        """weighted AS (SELECT doc_id, term, tf * (ln((1 + docs) / (1 + df)::DOUBLE) + 1) AS w
+        FROM cells JOIN vocabulary USING (term), size)""",
+    ),
+)
 def embedder_reload(spark, folder):
-    """TF-IDF vectors from a vectoriser that was saved and loaded again."""
-    from ledgerlens.session import shared_folder
-
+    """TF-IDF embeddings from an embedder that was saved and loaded again."""
     docs = documents(spark, folder).select("doc_id", "text")
-    path = f"{shared_folder(spark)}/ledgerlens/{spark.sparkContext.applicationId}/vectorizer"
-    vectorize.fit_vectorizer(docs, "text", "tfidf", 500).save(path)
-    return vectorize.FittedVectorizer.load(path).long(docs, "doc_id", "tfidf")
+    path = scratch(spark, "embedder")
+    saved.save_embedder(spark, features.Embedder("tfidf", VOCABULARY_SIZE).fit(docs, "text"), path)
+    embedder = saved.load_embedder(spark, path)
+    cells = vectorize.vector_cells(
+        embedder.transform(docs), "doc_id", "embedding", embedder.model.vocabulary, "tfidf"
+    )
+    return cells.select("doc_id", "term", F.round("tfidf", 6).alias("tfidf"))
+
+
+@query("topic_model_reload")
+def topic_model_reload(spark, folder):
+    """Topics of documents from a saved and loaded model, with the words of each topic."""
+    vectors, vectorizer = matrix(spark, folder, 500)
+    path = scratch(spark, "topic-model")
+    saved.save_topic_model(spark, topics.fit_lda(vectors, "vector", 5, max_iter=5), vectorizer.vocabulary, path)
+    model, vocabulary = saved.load_topic_model(spark, path)
+    weights = topics.topic_word_weights(spark, model.topicsMatrix().toArray(), vocabulary)
+    lists = topics.word_lists(topics.top_words(weights))
+    return topics.label_topics(topics.score_documents(model, vectors, "doc_id", "vector"), lists)
+
+
+@query(
+    "topic_words_single",
+    with_tables("SELECT source, rank, term FROM top WHERE source = (SELECT min(source) FROM top) AND rank <= 8", SOURCE_WORDS_SQL),
+)
+def topic_words_single(spark, folder):
+    """Ranked words of one topic; here the first source."""
+    docs = documents(spark, folder)
+    first = docs.agg(F.min("source")).first()[0]
+    words = topics.topic_words(source_top(docs).withColumnRenamed("source", "topic"), first, 8)
+    return words.select(F.col("topic").alias("source"), "rank", "term")
 
 
 @query(

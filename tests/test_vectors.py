@@ -7,7 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import features, models, topics, vectorize
+from ledgerlens.operators import features, lexicon, models, topics, vectorize
 from tests.conftest import values
 
 TEXTS = [
@@ -215,3 +215,25 @@ def test_plugin_encoder_and_bundle_names(spark, texts):
     out = bundle.transform(texts.fillna({"t": ""}))
     assert bundle.names() == ["stat_0", "stat_1", "stat_2", "stat_3", "stat_4", "topic_0", "topic_1"]
     assert out.select(F.size(vector_to_array("features"))).first()[0] == 7
+
+
+def test_saved_models_give_the_same_results(spark, texts, tmp_path):
+    from ledgerlens.sources import models as saved
+
+    filled = texts.fillna({"t": ""})
+    bundle = features.FeatureBundle("t", 8, 2, 2, topic_iterations=2).fit(filled)
+    saved.save_features(spark, bundle, str(tmp_path / "b"))
+    again = saved.load_features(spark, str(tmp_path / "b"))
+    assert again.names() == bundle.names()
+    one, two = (
+        dict(values(b.transform(filled).select("k", vector_to_array("features")))) for b in (bundle, again)
+    )
+    assert all(two[k] == pytest.approx(one[k]) for k in one)
+    _, df = matrix(spark)
+    nmf = topics.fit_nmf(df, "v", 2, iterations=2)
+    saved.save_topic_model(spark, nmf, ["w"] * 12, str(tmp_path / "n"))
+    loaded, vocabulary = saved.load_topic_model(spark, str(tmp_path / "n"))
+    assert vocabulary == ["w"] * 12 and loaded.components == pytest.approx(nmf.components)
+    table = lexicon.lexicon_table(spark)
+    saved.save_lexicon(table, str(tmp_path / "l"))
+    assert sorted(values(saved.load_lexicon(spark, str(tmp_path / "l")))) == sorted(values(table))
