@@ -22,6 +22,7 @@ STATISTICS = ["word_count", "char_count", "sentence_count", "avg_word_length", "
 SEMANTIC_COMPONENTS = 50
 LSA_ITERATIONS = 5
 LSA_OVERSAMPLE = 10
+WORD_VECTOR_PARTS = 512
 
 
 def statistical_features(text: Column | str) -> Column:
@@ -133,7 +134,8 @@ def explained_variance(scores: DataFrame, column: str, vectors: DataFrame, vecto
 def fit_word_vectors(df: DataFrame, text: str, size: int = 50, min_count: int = 5, seed: int = 42):
     """Word vectors averaged per document (I6); the model keeps ``size`` numbers per frequent word.
 
-    The training is split into as many parts as the table has partitions; Spark's own default is one task for all.
+    The training is split into as many parts as the table has partitions, within a limit because every part returns its
+    own copy of the changed vectors; Spark's own default is one task for all.
     """
     terms = df.select(terms_of(F.coalesce(F.col(text), F.lit("")), bigrams=False).alias("_terms"))
     return Word2Vec(
@@ -143,7 +145,7 @@ def fit_word_vectors(df: DataFrame, text: str, size: int = 50, min_count: int =
         inputCol="_terms",
         outputCol="embedding",
         maxIter=1,
-        numPartitions=df.rdd.getNumPartitions(),
+        numPartitions=min(df.rdd.getNumPartitions(), WORD_VECTOR_PARTS),
     ).fit(terms)
 
 
@@ -250,11 +252,15 @@ class FeatureBundle:
         self.lsa: LsaModel | None = None
         self.lda = None
 
-    def fit(self, df: DataFrame, vocabulary: Vocabulary | None = None) -> FeatureBundle:
+    def fit(
+        self, df: DataFrame, vocabulary: Vocabulary | None = None, vectors: DataFrame | None = None
+    ) -> FeatureBundle:
+        """Fit on a text column. A vocabulary and a stored matrix ``dtm`` that exist already are used as they are."""
         vocabulary = vocabulary or fit_vocabulary(df, self.text, self.max_features)
         self.vectorizer = vectorizer(vocabulary, self.text, "count", output="dtm")
-        # The solvers read the matrix many times.
-        vectors = stage(self.vectorizer.transform(df.select(self.text)).select("dtm"), "dtm")
+        if vectors is None:
+            # The solvers read the matrix many times.
+            vectors = stage(self.vectorizer.transform(df.select(self.text)).select("dtm"), "dtm")
         if self.use["semantic"]:
             self.lsa = fit_lsa(vectors, "dtm", self.semantic_components)
         if self.use["topics"]:

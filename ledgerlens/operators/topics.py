@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import as_column
 from ledgerlens.operators.sparse import cells, sum_rows, task_helpers
+from ledgerlens.session import small
 
 # Parameters of the LDA model.
 LDA_MAX_ITER = 15
@@ -23,6 +24,10 @@ TOPIC_WORD_PRIOR = 0.01
 DOC_TOPIC_PRIOR_FACTOR = 50.0
 SEED = 42
 
+# How many documents an iteration uses: at least this many, and at least this share.
+LDA_BATCH_DOCUMENTS = 2_000
+LDA_MIN_BATCH_SHARE = 0.05
+
 # Which topics of a document are reported, and the smoothing term of the coherence.
 MIN_TOPIC_SCORE = 0.01
 MAX_DOC_TOPICS = 5
@@ -34,8 +39,13 @@ def doc_topic_prior(topics: int) -> float:
 
 
 def fit_lda(vectors: DataFrame, vector: str, topics: int, max_iter: int = LDA_MAX_ITER, seed: int = SEED):
-    """Online variational LDA (I10, I11): each iteration reads a mini-batch, the state is topics x vocabulary."""
+    """Online variational LDA (I10, I11); the state is topics x vocabulary.
+
+    A small corpus is used in full by every iteration, a large one by a sample of it.
+    """
+    rate = min(1.0, max(LDA_MIN_BATCH_SHARE, LDA_BATCH_DOCUMENTS / max(vectors.count(), 1)))
     lda = LDA(
+        subsamplingRate=rate,
         k=topics,
         maxIter=max_iter,
         optimizer="online",
@@ -120,9 +130,9 @@ def score_documents(model, vectors: DataFrame, key: str, vector: str) -> DataFra
 
 
 def label_topics(doc_topics: DataFrame, lists: DataFrame, n: int = 10) -> DataFrame:
-    """Attach the first words of each topic (C5). There is one row per topic of the model, which bounds the broadcast."""
+    """Attach the first words of each topic (C5). There is one row per topic of the model."""
     words = lists.select("topic", F.concat_ws(", ", F.slice("words", 1, n)).alias("topic_words"))
-    return doc_topics.join(F.broadcast(words), "topic", "left")
+    return doc_topics.join(small(words), "topic", "left")
 
 
 def umass_coherence(

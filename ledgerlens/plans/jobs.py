@@ -19,7 +19,11 @@ from ledgerlens.sources import tables
 
 @dataclass
 class JobConfig:
-    """Settings of the data and analysis jobs."""
+    """Settings of the data and analysis jobs.
+
+    Input that is not columnar is first copied to parquet, so that the passes of the split read keys and labels only. Set
+    ``columnar_input`` for tables that are parquet already.
+    """
 
     key: str = "report_id"
     returns: str = "BHAR0_2"
@@ -36,6 +40,7 @@ class JobConfig:
     tune_sample: int = 2000
     alpha: float = models.JOB_ALPHA
     top: int = 10
+    columnar_input: bool = False
     financial_hook: Callable[[DataFrame], DataFrame] = lambda df: df
 
 
@@ -53,6 +58,8 @@ def data_job(reports: DataFrame, folder: str, config: JobConfig, source: str = "
     statistics come from the written table.
     """
     spark = reports.sparkSession
+    if not config.columnar_input:
+        reports = stage(reports, "reports")
     version = versions.content_version(reports)
     parts = split.stratified_split(
         prepare(reports, config), config.key, "label", config.test_size, config.val_size, config.seed
@@ -95,24 +102,24 @@ def analysis_job(spark: SparkSession, folder: str, config: JobConfig, version: s
     scored = train.select(config.key, F.col("label"), sentiment.analyze(text).alias("s")).select(
         config.key, "label", "s.*"
     )
-    counter = vectorizer(vocabulary, text)
+    counter = vectorizer(vocabulary, text, output="dtm")
     vectors = stage(counter.transform(train.select(config.key, text)), "vectors")
     count = config.topics
     tuning = None
     if config.tune_topics:
         sample = stage(split.exact_sample(vectors, config.key, config.tune_sample, config.seed), "tuning")
         terms = F.split(text, " ")
-        tuning = topics.tune_topics(sample, "vector", counter.vocabulary, sample, terms, config.tune_topics)
+        tuning = topics.tune_topics(sample, "dtm", counter.vocabulary, sample, terms, config.tune_topics)
         count = topics.best_topic_count(tuning).first()["topics"]
     if config.topic_method == "nmf":
-        topic_model = topics.fit_nmf(vectors, "vector", count)
+        topic_model = topics.fit_nmf(vectors, "dtm", count)
         weights = topics.topic_word_weights(spark, topic_model.components.T, counter.vocabulary)
     else:
-        topic_model = topics.fit_lda(vectors, "vector", count)
+        topic_model = topics.fit_lda(vectors, "dtm", count)
         weights = topics.topic_word_weights(spark, topic_model.topicsMatrix().toArray(), counter.vocabulary)
     bundle = features.FeatureBundle(
         text, config.max_features, config.semantic_components, count, topic_iterations=topics.LDA_FEATURE_ITER
-    ).fit(train, vocabulary)
+    ).fit(train, vocabulary, vectors)
     table = stage(bundle.transform(train).select(config.key, config.returns, "features"), "features")
     usable = table.where(F.col(config.returns).isNotNull())
     fitted = models.lasso(config.alpha, label=config.returns).fit(usable)

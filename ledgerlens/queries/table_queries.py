@@ -9,6 +9,7 @@ from ledgerlens.functions.wordlists import KEYWORD_TOPICS, NEGATIVE_PHRASE_WORDS
 from ledgerlens.operators import features, profile, split, versions
 from ledgerlens.queries import sql_text as q
 from ledgerlens.queries.registry import documents, query, reports, scratch, table, with_reports, with_tables
+from ledgerlens.session import stage
 from ledgerlens.sources import tables
 
 METRICS = list(metrics.METRIC_PATTERNS)
@@ -112,7 +113,8 @@ def stat_features(spark, folder):
 def nonzero_features(spark, folder):
     """Scores that occur at all in the documents."""
     scored = documents(spark, folder).select("doc_id", sentiment.lexicon_scores("text").alias("s"))
-    wide = scored.select("doc_id", "s.*")
+    # The scores are read twice; storing them is cheaper than reading the texts again.
+    wide = stage(scored.select("doc_id", "s.*"), "scores")
     kept = features.nonzero_columns(wide, q.SCORES)
     counts = wide.agg(*[F.count_if(F.col(c) != 0).alias(c) for c in kept])
     return counts.unpivot([], kept, "feature", "rows_with_value")
@@ -215,7 +217,8 @@ def histogram_sql(source: str, value: str, bins: int, *more: str) -> str:
 
 @query("wordcount_hist", histogram_sql("documents", q.word_count("text"), 50))
 def wordcount_hist(spark, folder):
-    hist = profile.histograms(documents(spark, folder), {"words": text.word_count("text")}, 50)
+    words = stage(documents(spark, folder).select(text.word_count("text").alias("words")), "words")
+    hist = profile.histograms(words, {"words": F.col("words")}, 50)
     return hist.select("bin", "n")
 
 
@@ -240,7 +243,7 @@ def target_hist(spark, folder):
 )
 def score_hist(spark, folder):
     scored = reports(spark, folder).select(sentiment.lexicon_scores("ea_text").alias("s")).select("s.*")
-    return profile.histograms(scored, {c: F.col(c) for c in q.SCORES}, 20).select("name", "bin", "n")
+    return profile.histograms(stage(scored, "scores"), {c: F.col(c) for c in q.SCORES}, 20).select("name", "bin", "n")
 
 
 @query(

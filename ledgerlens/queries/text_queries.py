@@ -412,15 +412,6 @@ def custom_analyzer(spark, folder):
     return scored.select("doc_id", "s.*")
 
 
-def letter_scorer():
-    def score(chunks):
-        return [
-            {"positive": c.count("e") / (len(c) + 1), "negative": c.count("o") / (len(c) + 1)} for c in chunks
-        ]
-
-    return score
-
-
 @query(
     "plugin_sentiment",
     with_tables(
@@ -432,5 +423,14 @@ def letter_scorer():
 )
 def plugin_sentiment(spark, folder):
     """The same stand-in score from a plug-in model that runs in the tasks."""
+
+    def letter_scorer():
+        def score(chunks):
+            return [
+                {"positive": c.count("e") / (len(c) + 1), "negative": c.count("o") / (len(c) + 1)} for c in chunks
+            ]
+
+        return score
+
     scored = lexicon.plugin_scores(documents(spark, folder), "doc_id", "text", letter_scorer)
     return rounded(scored, ["doc_id"], ["positive", "negative", "net_sentiment", "sentiment_ratio"], 9)

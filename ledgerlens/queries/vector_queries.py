@@ -354,13 +354,6 @@ def word2vec_docs(spark, folder):
     return embedder.transform(docs).select("doc_id", vector_to_array("embedding").alias("embedding"))
 
 
-def shape_encoder():
-    def encode(texts):
-        return [[len(t), t.count(" "), t.count(".")] for t in texts]
-
-    return encode
-
-
 @query(
     "plugin_embeddings",
     """SELECT doc_id, length(text)::DOUBLE AS x0, (length(text) - length(replace(text, ' ', '')))::DOUBLE AS x1,
@@ -368,6 +361,13 @@ def shape_encoder():
 )
 def plugin_embeddings(spark, folder):
     """Embeddings from a plug-in encoder that runs in the tasks."""
+
+    def shape_encoder():
+        def encode(texts):
+            return [[len(t), t.count(" "), t.count(".")] for t in texts]
+
+        return encode
+
     encoded = features.encode_texts(documents(spark, folder), "doc_id", "text", shape_encoder)
     return encoded.select("doc_id", *[F.col("embedding")[i].alias(f"x{i}") for i in range(3)])
 
