@@ -66,12 +66,19 @@ def split_quotas(sizes: DataFrame, test_size: float, val_size: float) -> DataFra
     return rest.select("_label", "_size", "test", largest_remainder("_rest", F.col("_n_val")).alias("val"))
 
 
+def _class_name(label: Column) -> Column:
+    return F.coalesce(label.cast("string"), F.lit("\\N"))
+
+
 def assign_parts(df: DataFrame, key: str, label: Column, limits: DataFrame, seed: int, output: str) -> DataFrame:
     """Put the rows of each class into consecutive parts of their hash order.
 
     ``limits`` has ``(_label, part, upto)``: a part ends with the row of that number in its class. Keys must be unique.
-    Three narrow scans find the hash at each limit; the table itself is then only mapped.
+    Three narrow scans find the hash at each limit; the table itself is then only mapped. Rows without a label are a
+    class of their own.
     """
+    label = _class_name(label)
+    limits = limits.withColumn("_label", _class_name(F.col("_label")))
     keyed = _bucketed(df, key, label, seed)
     counts = keyed.groupBy("_label", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     running = Window.partitionBy("_label").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -119,6 +126,13 @@ def stratified_split(
     return assign_parts(df, key, F.col(label), limits, seed, "split")
 
 
+def random_split(
+    df: DataFrame, key: str, test_size: float = TEST_SIZE, val_size: float = VAL_SIZE, seed: int = SEED
+) -> DataFrame:
+    """The same split for a table without a label."""
+    return stratified_split(df.withColumn("_all", F.lit(0)), key, "_all", test_size, val_size, seed).drop("_all")
+
+
 def _part_rank() -> Column:
     return F.when(F.col("part") == "test", 3).when(F.col("part") == "val", 2).otherwise(1)
 
@@ -145,6 +159,5 @@ def exact_sample(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame
 
 def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows and share of positive labels, in percent, per part of the split (D3)."""
-    return df.groupBy("split").agg(
-        F.count(F.lit(1)).alias("n"), (F.avg(label) * 100).alias("positive_share")
-    )
+    share = F.avg(label) * 100 if label in df.columns else F.lit(None).cast("double")
+    return df.groupBy("split").agg(F.count(F.lit(1)).alias("n"), share.alias("positive_share"))

@@ -61,9 +61,13 @@ def data_job(reports: DataFrame, folder: str, config: JobConfig, source: str = "
     if not config.columnar_input:
         reports = stage(reports, "reports")
     version = versions.content_version(reports)
-    parts = split.stratified_split(
-        prepare(reports, config), config.key, "label", config.test_size, config.val_size, config.seed
-    )
+    prepared = prepare(reports, config)
+    settings = (config.test_size, config.val_size, config.seed)
+    labelled = "label" in prepared.columns
+    if labelled:
+        parts = split.stratified_split(prepared, config.key, "label", *settings)
+    else:
+        parts = split.random_split(prepared, config.key, *settings)
     tables.write_splits(parts, f"{folder}/splits", version)
     saved = tables.read_splits(spark, f"{folder}/splits", version)
     statistics = profile.text_statistics(saved, "clean_sent").first()
@@ -79,8 +83,8 @@ def data_job(reports: DataFrame, folder: str, config: JobConfig, source: str = "
         "num_samples": sum(sizes.values()),
         "data_splits": {
             **{f"{name}_size": n for name, n in sizes.items()},
-            "target_column": config.returns,
-            "stratify_column": "label",
+            "target_column": config.returns if labelled else None,
+            "stratify_column": "label" if labelled else None,
         },
     }
     tables.write_config(spark, record, f"{folder}/configs/{version}")

@@ -116,3 +116,11 @@ def test_columns_work_on_streams_unchanged(spark, data, tmp_path):
     run = scored.writeStream.format("memory").queryName("scored").trigger(availableNow=True).start()
     run.awaitTermination(120)
     assert spark.table("scored").count() == reports(spark, data).count()
+
+
+def test_data_job_without_returns(spark, data, tmp_path):
+    texts = reports(spark, data).select("report_id", "ea_text")
+    done = jobs.data_job(texts, str(tmp_path / "d"), jobs.JobConfig(returns="bhar0_2"))
+    sizes = done["config"]["data_splits"]
+    assert sizes["stratify_column"] is None
+    assert sizes["train_size"] + sizes["val_size"] + sizes["test_size"] == texts.count()

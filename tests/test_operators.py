@@ -199,3 +199,13 @@ def test_session_helpers(spark):
     assert staged.count() == 100 and "Range" not in staged._jdf.queryExecution().toString()
     assert spread(df.coalesce(1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert compact(df.repartition(6)).rdd.getNumPartitions() == 1
+
+
+def test_rows_without_label_are_split_too(spark):
+    df = labelled(spark, 400).withColumn("label", F.when(F.col("id") % 4 == 0, None).otherwise(F.col("label")))
+    done = split.stratified_split(df, "id")
+    assert dict(values(done.groupBy("split").count())) == {"test": 80, "val": 48, "train": 272}
+    assert done.where("split = 'test' and label is null").count() == 20
+    plain = split.random_split(df.drop("label"), "id")
+    assert plain.columns == ["id", "split"]
+    assert dict(values(plain.groupBy("split").count())) == {"test": 80, "val": 48, "train": 272}
