@@ -209,3 +209,10 @@ def test_rows_without_label_are_split_too(spark):
     plain = split.random_split(df.drop("label"), "id")
     assert plain.columns == ["id", "split"]
     assert dict(values(plain.groupBy("split").count())) == {"test": 80, "val": 48, "train": 272}
+
+
+def test_split_by_shuffle_join_gives_the_same_rows(spark, monkeypatch):
+    df = spark.range(300).withColumn("label", F.col("id") % 7)
+    broadcast = sorted(values(split.stratified_split(df, "id").select("id", "split")))
+    monkeypatch.setattr(split, "small", lambda table: table)
+    assert sorted(values(split.stratified_split(df, "id").select("id", "split"))) == broadcast
