@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import exact_dedup
+from ledgerlens.llm import exact_dedup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
@@ -34,3 +40,13 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
   doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
 FROM flat WINDOW same AS (PARTITION BY t)
 """
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file())
