@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, packing, toxicity
+from ledgerlens.llm import exact_dedup, minhash_join, mixing, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,3 +51,19 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file())
+
+
+@query
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_join.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
+@query
+def op5_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    mix = mixing.mixture(docs)
+    placed = mixing.copies(docs.select("doc_id", "source", mixing.n_tokens("text").alias("n_tokens")), mix, block_tokens=1e6)
+    return placed.select(
+        "doc_id", "source", "n_tokens", F.col("_mix_epoch").alias("epoch"), F.col("_mix_block").alias("block"),
+        F.col("_mix_place").alias("place"), F.col("_mix_weight").alias("weight"),
+    )
