@@ -30,31 +30,85 @@ END_ID = 1
 PART_ROWS = 8000
 # No piece is compared with more than the open sequences of this many pieces, whatever the part holds.
 MOST_AT_ONCE = 32_000
-# White space never lies within a token, so blank-separated words are encoded one by one and remembered.
+# White space never lies within a token, so blank-separated words are encoded by themselves and remembered.
 WORD = re.compile(r"[^ \t\n\r\f\v]+")
-REMEMBERED_WORDS, REMEMBERED_LENGTH = 300_000, 40
+TAIL = ".,;:!?"
+CHUNK_CHARACTERS, REMEMBERED_WORDS, REMEMBERED_CHARACTERS = 1_000_000, 400_000, 20_000_000
 
 
 class WordIds:
-    """Ids of a text as little-endian 32-bit numbers, through a bounded memory of words."""
+    """Ids of texts as little-endian 32-bit numbers, through a bounded memory of words.
+
+    New words are encoded together: a word of letters is one unit of the tokenizer, whose last token alone ends in the
+    mark of a word's end, so the ids of many can be told apart. Closing marks are units of their own behind a letter.
+    """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.known: dict[str, bytes] = {}
-
-    def new(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= REMEMBERED_LENGTH:
-            if len(self.known) >= REMEMBERED_WORDS:
-                self.known.clear()
-            self.known[word] = ids
-        return ids
-
-    def of(self, text: str) -> bytes:
-        known = self.known
-        return b"".join([known[w] if w in known else self.new(w) for w in WORD.findall(text)])
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.size = 0
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn_cores(self, cores: list[str]) -> None:
+        ids = self.ids(" ".join(cores))
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) == len(cores):
+            raw, at = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
+            self.cores.update((c, raw[at[i] : at[i + 1]]) for i, c in enumerate(cores))
+        else:  # a letter that normalises to more than letters
+            self.cores.update((c, self.ids(c).tobytes()) for c in cores)
+
+    def learn(self, new: set[str]) -> None:
+        parts, fresh = [], set()
+        for word in new:
+            core = word.rstrip(TAIL)
+            if core.isalpha():
+                tail, core = word[len(core) :], core.lower() if core.isascii() else core
+                parts.append((word, core, tail))
+                fresh.update(x for x in (core,) if x not in self.cores)
+                if tail and tail not in self.cores:
+                    self.cores[tail] = self.ids(tail).tobytes()
+            else:
+                self.words[word] = self.ids(word).tobytes()
+        fresh_list = sorted(fresh)
+        for at in range(0, len(fresh_list), 500):
+            self.learn_cores(fresh_list[at : at + 500])
+        for word, core, tail in parts:
+            self.words[word] = self.cores[core] + self.cores[tail] if tail else self.cores[core]
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        # str.split() knows four separators that are no white space to the tokenizer.
+        split = [WORD.findall(t) if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
+        new = {w for words in split for w in words if w not in self.words}
+        self.learn(new)
+        self.size += sum(map(len, new))
+        known = self.words
+        out = [b"".join([known[w] for w in words]) for words in split]
+        if len(known) > REMEMBERED_WORDS or self.size > REMEMBERED_CHARACTERS:
+            self.words, self.size = {}, 0
+            if len(self.cores) > REMEMBERED_WORDS or sum(map(len, self.cores)) > REMEMBERED_CHARACTERS:
+                self.cores = {}
+        return out
+
+
+def chunks_of(column: pa.Array):
+    """Lists of texts with about CHUNK_CHARACTERS together."""
+    held, size = [], 0
+    for value in column:
+        held.append(value.as_py() or "")
+        size += len(held[-1])
+        if size >= CHUNK_CHARACTERS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def pieces(
@@ -69,8 +123,8 @@ def pieces(
         words = WordIds(tokenizer_file)
         for batch in batches:
             rows, out = [], []
-            for row, value in enumerate(batch.column(1)):
-                ids = memoryview(words.of(value.as_py() or "") + end)
+            for row, own in enumerate(x for texts in chunks_of(batch.column(1)) for x in words.of(texts)):
+                ids = memoryview(own + end)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append(row)

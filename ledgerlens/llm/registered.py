@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, minhash_join, mixing, packing, topk_search, toxicity, url_filter
+from ledgerlens.llm import exact_dedup, minhash_join, mixing, packing, private_data, sharding, topk_search, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -97,3 +97,13 @@ RULES = [
 @query
 def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judged(table(spark, folder, "pages"), RULES)
+
+
+@query
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shards_of(table(spark, folder, "documents"))
+
+
+@query
+def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
+    return private_data.personal_data(table(spark, folder, "documents"))
