@@ -30,7 +30,7 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 CANDIDATE = rf"(?<![^{BLANK}])[^{BLANK}0-9@]*+[0-9@][^{BLANK}]*+"
 PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)"
-OPEN, CLOSE, OTHER = "", "", ""
+OPEN, CLOSE, OTHER = "", "", ""  # private-use characters that mark matches
 ROUNDS, LEAST_SCORE, LEAST_SEEDS = 3, 0.7, 3
 GROUP = 500
 
@@ -112,17 +112,25 @@ def lexical_pattern(before: Column) -> Column:
     return F.when(plain != "", plain)
 
 
+def base_spans(text: Column, number: int, pattern: str, valid) -> Column:
+    """(start, kind number, end, pattern, value) of the matches that are valid."""
+
+    def span(m: Column) -> Column:
+        return F.struct(
+            m["start"].alias("start"), F.lit(number).alias("kind"), m["end"].alias("end"), lexical_pattern(m["before"]).alias("pattern"), m["value"].alias("value")
+        )
+
+    return F.transform(F.filter(matches(text, pattern), lambda m: valid(m["value"])), span)
+
+
 def scanned(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, ``base`` (array of start, kind number, end, pattern, value) and ``rest`` (the same for the other
     identifier-like tokens). The only pass over the texts."""
     text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), OPEN + CLOSE, OTHER + OTHER)
     rows = docs.select("doc_id", text.alias("text"))
-    names = []
     for number, (kind, pattern, valid) in enumerate(CHECKS):
-        found = matches(F.col("text"), pattern)
-        item = lambda m, n=number: F.struct(m["start"].alias("start"), F.lit(n).alias("kind"), m["end"].alias("end"), lexical_pattern(m["before"]).alias("pattern"), m["value"].alias("value"))
-        rows = rows.withColumn(kind, F.transform(F.filter(found, lambda m, ok=valid: ok(m["value"])), item))
-        names.append(kind)
+        rows = rows.withColumn(kind, base_spans(F.col("text"), number, pattern, valid))
+    names = [kind for kind, _, _ in CHECKS]
     base = F.array_sort(F.concat(*names))
     other = F.transform(matches(F.col("text"), CANDIDATE), trimmed)
     rows = rows.withColumn("base", base).withColumn("other", other)
