@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, minhash_join, mixing, packing, private_data, sharding, topk_search, toxicity, url_filter
+from ledgerlens.llm import exact_dedup, minhash_join, mixing, packing, private_data, sharding, substring_dedup, topk_search, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -107,3 +107,8 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
     return private_data.personal_data(table(spark, folder, "documents"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.removed(table(spark, folder, "documents")).drop("spans")
