@@ -158,8 +158,9 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id"
     n = F.size("vector")
     block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
     part = F.pmod(F.xxhash64(F.element_at("ids", 1)), F.lit(parts))
-    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("p"), block.alias("b"), F.lit(0).alias("kind"), "vector", F.array("vec_id").alias("ids"))
-    given = vectors.select(part.cast("int").alias("p"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("b"), F.lit(1).alias("kind"), "vector", "ids")
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint")))
+    asked = queries.select(every(parts).alias("p"), block.alias("b"), F.lit(0).alias("kind"), "vector", F.array("vec_id").alias("ids"))
+    given = vectors.select(part.alias("p"), every(blocks).alias("b"), F.lit(1).alias("kind"), "vector", "ids")
     pairs = asked.unionByName(given).select(F.concat_ws(":", n, "b", "p").alias("pair"), "kind", "vector", "ids")
     dealt = pairs.repartition("pair").sortWithinPartitions("pair", "kind", F.element_at("ids", 1))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
