@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
+from ledgerlens.llm.arrays import text_blocks
+from ledgerlens.llm.minhash_join import shingles
 from ledgerlens.session import stage
 
 FOLDS = 5
@@ -36,7 +38,8 @@ SAMPLE_ROWS = 10_000
 FIT_ROWS = 40_000
 VOCABULARY = 4096
 MINED_LISTS = 6
-LEAST_ROWS = 5
+LEAST_ROWS = 4
+LEAST_RATIO, LEAST_ODDS = 15.0, 4.0
 WORD = re.compile(r"[^\W\d_]+")
 # Voters that know no label: common insults, threats and obscenities of English, and patterns of writing.
 INSULTS = frozenset(
@@ -93,18 +96,35 @@ class Terms:
 
 
 def mine(labelled: DataFrame, size: int = VOCABULARY, lists: int = MINED_LISTS) -> Terms:
-    """The terms whose share differs most between toxic and clean rows, in standard errors of their log odds."""
+    """The terms whose share differs most between toxic and clean rows by the likelihood ratio (G^2), as far as that is no
+    accident. Terms that are almost never clean vote in the lists."""
     total = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not total.get(0) or not total.get(1):
         return Terms([], [])
-    toxic, clean = F.col("n_toxic") + 0.5, F.col("n_clean") + 0.5
-    odds = F.log(toxic / (total[1] + 1 - toxic)) - F.log(clean / (total[0] + 1 - clean))
-    scored = term_counts(labelled).filter(F.col("n_toxic") + F.col("n_clean") >= LEAST_ROWS).withColumn("odds", odds)
-    scored = scored.withColumn("z", F.col("odds") / F.sqrt(1 / toxic + 1 / clean))
-    rows = scored.orderBy(F.abs("z").desc(), "term").limit(size).collect()
-    strong = [r["term"] for r in rows if r["odds"] > 1.5 and r["z"] > 3]
+    toxic, clean, rows = F.col("n_toxic"), F.col("n_clean"), total[0] + total[1]
+    part = lambda n, own: F.when(n > 0, n * F.log(n / ((toxic + clean) * own / rows))).otherwise(0.0)
+    odds = F.log((toxic + 0.5) / (total[1] + 1 - toxic)) - F.log((clean + 0.5) / (total[0] + 1 - clean))
+    counted = term_counts(labelled).filter(toxic + clean >= LEAST_ROWS)
+    ratio = counted.withColumn("ratio", 2 * (part(toxic, total[1]) + part(clean, total[0]))).withColumn("odds", odds)
+    best = ratio.filter(F.col("ratio") >= LEAST_RATIO).orderBy(F.col("ratio").desc(), "term").limit(size).collect()
+    strong = [r["term"] for r in best if r["odds"] >= LEAST_ODDS]
     at = {t: i % lists for i, t in enumerate(strong)}
-    return Terms([r["term"] for r in rows], [at.get(r["term"], -1) for r in rows])
+    return Terms([r["term"] for r in best], [at.get(r["term"], -1) for r in best])
+
+
+def single(labelled: DataFrame) -> DataFrame:
+    """``labelled`` (text, label) with one row for each smallest three-word shingle, so that the words of a text with many
+    near copies don't look like a rule."""
+
+    def least(batches):
+        for batch in batches:
+            for first, last, raw, at in text_blocks(batch.column(0)):
+                hashes, ends = shingles(raw, at, 3)
+                names = [int(hashes[a:b].min().view("i8")) if b > a else None for a, b in zip(ends[:-1], ends[1:])]
+                rows = [batch.column(i).slice(first, last - first) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*rows, pa.array(names, pa.int64())], ["text", "label", "least"])
+
+    return labelled.select("text", "label").mapInArrow(least, "text string, label int, least bigint").dropDuplicates(["label", "least"]).drop("least")
 
 
 def votes_and_terms(docs: DataFrame, terms: Terms) -> DataFrame:
@@ -238,7 +258,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample_rows: i
     # At most twice sample_rows ids: the parameter bounds what is broadcast.
     sample = known.filter("label = 0").orderBy(*order).limit(sample_rows).union(known.filter("label = 1").orderBy(*order).limit(sample_rows))
     sample = stage(sample, "sample")
-    labelled = stage(docs.join(F.broadcast(sample), "doc_id").select("text", "label"), "labelled")
+    labelled = stage(single(docs.join(F.broadcast(sample), "doc_id").select("text", "label")), "labelled")
     terms = mine(labelled)
     marked = stage(votes_and_terms(docs, terms), "votes")
     learn = marked.filter(training_rows(folds)).join(known, "doc_id", "left").select("doc_id", "votes", "found", "label")
