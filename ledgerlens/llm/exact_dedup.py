@@ -86,7 +86,8 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     listed = recipes(docs, doc_id, text, name)
     rows = listed.groupBy("recipe", "doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("times"))
     groups = rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.sum("times").alias("group_size"))
-    # The side of the documents may be hot in one recipe; it is light, and a plain join lets Spark split it.
+    groups = stage(groups, "groups")
+    # The side of the documents may be hot in one recipe; it is light, and Spark can split it, as both sides are plain tables.
     return rows.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
