@@ -120,7 +120,8 @@ def suspects(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """Rows with an anchor that is found twice, and those anchors: written in buckets of the key, which later joins share."""
     spark = rows.sparkSession
     found = stage(anchor_rows(rows, length, gram), "anchors")
-    twice = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    # Written first: both sides of the join are then plain tables, and Spark can split a gram that is found very often.
+    twice = stage(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"), "found-twice")
     listed = found.join(twice, "gram").groupBy("key").agg(F.collect_set("gram").alias("grams"))
     name = f"suspects_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/ledgerlens/{spark.sparkContext.applicationId}/{name}"
@@ -279,7 +280,7 @@ def counted_windows(rows: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["window", "key", "key2", "start"])
 
     each = stage(rows.select("key", "key2", "start", "count", "bytes").mapInArrow(work, "window binary, key bigint, key2 bigint, start bigint"), "windows")
-    twice = each.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window")
+    twice = stage(each.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("window"), "found-twice")
     return each.join(twice, "window").select("key", "key2", "start", F.lit(1).cast("bigint").alias("count"))
 
 
@@ -293,6 +294,7 @@ def repeated_windows(bucketed: DataFrame, length: int, gram: int) -> DataFrame:
     whole = every.join(stretches.filter("n > 1").select("gram", "stretch"), ["gram", "stretch"]).select("key", "key2", "start", "count")
     # Anchors with a stretch that was found once: their different stretches are compared, one place for each.
     open_grams = stretches.groupBy("gram").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least")).filter("least = 1 AND size > 1")
+    open_grams = stage(open_grams, "open-grams")
     wanted = stretches.join(open_grams, "gram").select("one.*", (F.col("size") > GROUP_CONTEXTS).alias("large"))
     found = stage(contexts(bucketed, wanted, length, gram), "contexts")
     # What a shared stretch's single place finds is repeated in all of its places already.
