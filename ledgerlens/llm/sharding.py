@@ -75,6 +75,7 @@ def propagate(linked: DataFrame, quota: np.ndarray, rounds: int) -> DataFrame:
         sums = linked.groupBy(*GROUP, "shard").agg(F.count(F.lit(1)).alias("n"))
         choice = F.struct("n", F.xxhash64("ga", "shard").alias("h"))
         wanted = sums.groupBy(*GROUP).agg(F.max_by("shard", choice).alias("to"), F.sum("n").alias("members"))
+        wanted = stage(wanted, "wanted")
         own_cell = F.when(F.col("members") * 8 > F.lit(int(quota.max())), F.xxhash64("doc_id")).otherwise(F.lit(0))
         cell = F.pmod(F.xxhash64("ga", own_cell), F.lit(CELLS))
         wishes = stage(linked.join(wanted, GROUP).withColumn("cell", cell).drop("members"), "wishes")
@@ -100,6 +101,7 @@ def shards_of(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Da
     columns += [F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard")]
     quota = np.array([n // shards + (s < n % shards) for s in range(shards)], np.int64)
     groups = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*GROUP)
+    groups = stage(groups, "groups")  # a plain table, so that Spark can split a large group in the join
     marked = stage(rows.join(groups.withColumn("linked", F.lit(True)), GROUP, "left"), "marked")
     linked = numbered(marked.filter("linked").drop("linked"), "at", None, n)
     linked = stage(linked.withColumn("shard", F.pmod("at", F.lit(shards)).cast("int")).drop("at"), "labels")
