@@ -218,7 +218,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, symbols:
     classes = stage(classes, "classes")
     index = entries(classes, symbols, percent)
     shared = index.groupBy("entry").agg(F.min("class_id").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    ties = index.join(shared.select("entry", "centre"), "entry").select(F.col("class_id").alias("a"), F.col("centre").alias("b"))
+    shared = stage(shared.select("entry", "centre"), "shared-entries")  # a plain table: Spark can split a hot entry in the join
+    ties = index.join(shared, "entry").select(F.col("class_id").alias("a"), F.col("centre").alias("b"))
     part = components(ties)
     links = linked(docs, classes, part, words, percent, symbols)
     joined = components(links)
