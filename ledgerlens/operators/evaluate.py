@@ -117,7 +117,7 @@ def summarise_folds(scores: DataFrame) -> DataFrame:
     Input ``(metric, fold, value)`` has one row per fold. Metrics named ``neg_...`` are also given with the sign turned.
     """
     turned = scores.where(F.col("metric").startswith("neg_")).select(
-        F.substring("metric", 5, 1000).alias("metric"), "fold", (-F.col("value")).alias("value")
+        F.substr("metric", F.lit(5)).alias("metric"), "fold", (-F.col("value")).alias("value")
     )
     both = scores.select("metric", "fold", "value").unionByName(turned)
     values = F.transform(F.sort_array(F.collect_list(F.struct("fold", "value"))), lambda p: p["value"])

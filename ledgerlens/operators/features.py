@@ -22,7 +22,7 @@ STATISTICS = ["word_count", "char_count", "sentence_count", "avg_word_length", "
 SEMANTIC_COMPONENTS = 50
 LSA_ITERATIONS = 5
 LSA_OVERSAMPLE = 10
-WORD_VECTOR_PARTS = 512
+WORD_VECTOR_PARTS = 8
 
 
 def statistical_features(text: Column | str) -> Column:
@@ -131,13 +131,18 @@ def explained_variance(scores: DataFrame, column: str, vectors: DataFrame, vecto
     return by_part.select("component", F.try_divide("variance", F.lit(total)).alias("ratio"))
 
 
-def fit_word_vectors(df: DataFrame, text: str, size: int = 50, min_count: int = 5, seed: int = 42):
-    """Word vectors averaged per document (I6); the model keeps ``size`` numbers per frequent word.
+def fit_word_vectors(
+    df: DataFrame, text: str, size: int = 50, min_count: int = 5, seed: int = 42, parts: int = WORD_VECTOR_PARTS, max_terms: int = 100_000
+):
+    """Word vectors averaged per document (I6); the model keeps ``size`` numbers for each of at most ``max_terms`` words.
 
-    The training is split into as many parts as the table has partitions, within a limit because every part returns its
-    own copy of the changed vectors; Spark's own default is one task for all.
+    Words are counted first, and ``min_count`` is raised as far as that bound asks, so what the fit gathers is bounded. The training is split into ``parts``, whatever the files; every part returns its own copy of the vectors.
     """
     terms = df.select(terms_of(F.coalesce(F.col(text), F.lit("")), bigrams=False).alias("_terms"))
+    counts = terms.select(F.explode("_terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    first_left_out = counts.where(F.col("n") >= min_count).orderBy(F.desc("n"), "term").offset(max_terms).limit(1).collect()
+    if first_left_out:
+        min_count = first_left_out[0]["n"] + 1
     return Word2Vec(
         vectorSize=size,
         minCount=min_count,
@@ -145,7 +150,7 @@ def fit_word_vectors(df: DataFrame, text: str, size: int = 50, min_count: int =
         inputCol="_terms",
         outputCol="embedding",
         maxIter=1,
-        numPartitions=min(df.rdd.getNumPartitions(), WORD_VECTOR_PARTS),
+        numPartitions=parts,
     ).fit(terms)
 
 
@@ -277,6 +282,10 @@ class FeatureBundle:
         result = self.vectorizer.transform(df)
         if self.use["statistical"]:
             result = add_statistical_vector(result, self.text)
+        return self.from_matrix(result)
+
+    def from_matrix(self, result: DataFrame) -> DataFrame:
+        """The same from a table that holds ``dtm`` and, where it is used, ``statistical`` already: no text is read."""
         if self.lda is not None:
             result = self.lda.setTopicDistributionCol("topics").transform(result)
         if self.lsa is not None:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.evaluate import classifier_metrics, regression_metrics, roc_auc, summarise_folds
-from ledgerlens.operators.split import RETURN_THRESHOLD, SEED, TEST_SIZE, folds, stratified_split
+from ledgerlens.operators.split import RETURN_THRESHOLD, SEED, TEST_SIZE, above, folds, stratified_split
 from ledgerlens.session import compact, stage
 
 # Search settings.
@@ -22,6 +22,7 @@ ALPHA_MIN, ALPHA_MAX, N_ALPHAS = 0.0001, 1.0, 50
 JOB_ALPHA = 0.001
 CV_FOLDS = 5
 N_ITER_SEARCH = 20
+CLASSIFIER_ITER = 1000
 
 # Search spaces. Spark trees are at most 30 deep and have a minimum per leaf instead of per split; the
 # support vector machine is linear.
@@ -134,15 +135,19 @@ def group_importance(table: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def build(kind: str, params: dict, features: str = "features", label: str = "label", seed: int = SEED, rows: int = 1):
-    """Estimator of one kind with the parameters of a candidate."""
+    """Estimator of one kind with the parameters of a candidate; ``rows`` is the number of rows that it will be fitted on.
+
+    The penalty is the one on plain coefficients, as in the Lasso, not on those of standardised features.
+    """
     common = {"featuresCol": features, "labelCol": label}
     if params.get("balanced"):
         common["weightCol"] = "_weight"
     if kind == "LogisticRegression":
         mix = 1.0 if params.get("penalty", "l2") == "l1" else 0.0
-        return LogisticRegression(maxIter=100, regParam=1.0 / (params["C"] * rows), elasticNetParam=mix, **common)
+        penalty = {"regParam": 1.0 / (params["C"] * rows), "elasticNetParam": mix, "standardization": False}
+        return LogisticRegression(maxIter=CLASSIFIER_ITER, **penalty, **common)
     if kind == "SVM":
-        return LinearSVC(maxIter=100, regParam=1.0 / (params["C"] * rows), **common)
+        return LinearSVC(maxIter=CLASSIFIER_ITER, regParam=1.0 / (params["C"] * rows), standardization=False, **common)
     if kind == "RandomForest":
         return RandomForestClassifier(
             numTrees=params.get("trees", 50),
@@ -167,7 +172,11 @@ def build(kind: str, params: dict, features: str = "features", label: str = "lab
 
 def add_balance_weight(df: DataFrame, label: str = "label") -> DataFrame:
     """Weight ``rows / (classes * rows of the class)``, so that all classes weigh the same."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    return with_balance_weight(df, {r[0]: r[1] for r in df.groupBy(label).count().collect()}, label)
+
+
+def with_balance_weight(df: DataFrame, counts: dict, label: str = "label") -> DataFrame:
+    """The same weight from counts that are known already."""
     total = sum(counts.values())
     weight = F.lit(None).cast("double")
     for value, n in counts.items():
@@ -176,14 +185,16 @@ def add_balance_weight(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def evaluate_classifier(model, df: DataFrame, label: str = "label") -> DataFrame:
-    """Accuracy, macro scores and, for models with a class-1 score, ROC AUC, as one row."""
+    """Accuracy, macro scores and ROC AUC, as one row (I20). AUC needs a ranking only: the probability of class 1, or for
+    the support vector machine its raw score."""
     from pyspark.ml.functions import vector_to_array
 
     scored = model.transform(df)
     result = classifier_metrics(scored, label, "prediction")
-    if "probability" not in scored.columns:
+    ranking = next((c for c in ("probability", "rawPrediction") if c in scored.columns), None)
+    if ranking is None:
         return result.withColumn("roc_auc", F.lit(None).cast("double"))
-    ranked = scored.select(F.col(label), vector_to_array("probability")[1].alias("_p"))
+    ranked = scored.select(F.col(label), vector_to_array(ranking)[1].alias("_p"))
     auc = roc_auc(ranked, "_p", label).first()["roc_auc"]
     return result.withColumn("roc_auc", F.lit(auc).cast("double"))
 
@@ -234,11 +245,16 @@ def cross_validate(
     return sides[0].unionByName(sides[1])
 
 
-def mean_fold_score(estimator, folded: DataFrame, k: int, label: str, regression: bool) -> float:
-    """Mean test score: macro F1 for classes, negative RMSE for numbers. One scoring job per candidate."""
+def mean_fold_score(estimator, folded: DataFrame, k: int, label: str, regression: bool, fold_train=None) -> float:
+    """Mean test score: macro F1 for classes, negative RMSE for numbers. One scoring job per candidate.
+
+    ``estimator`` is one, or a function that makes one for the fold that is held out; ``fold_train`` gives that fold's
+    training rows where they are more than the rows of the other folds.
+    """
     predictions = None
     for fold in range(k):
-        model = estimator.fit(folded.where(F.col("fold") != fold))
+        train = folded.where(F.col("fold") != fold) if fold_train is None else fold_train(fold)
+        model = (estimator(fold) if callable(estimator) else estimator).fit(train)
         part = model.transform(folded.where(F.col("fold") == fold)).select("fold", label, "prediction")
         predictions = part if predictions is None else predictions.unionByName(part)
     if regression:
@@ -295,19 +311,38 @@ def train_classifiers(
 ) -> dict:
     """Random search for four kinds of classifiers; the best is the one with the highest macro F1 on test."""
     spaces = SEARCH_SPACES if spaces is None else spaces
-    labelled = df.withColumn("label", F.when(F.col(returns) > threshold, 1).otherwise(0))
+    labelled = df.withColumn("label", above(returns, threshold))
     parts = stage(stratified_split(labelled, key, "label", test_size, 0.0, seed), "class-parts")
-    train = add_balance_weight(parts.where("split = 'train'").drop("split"))
+    train = parts.where("split = 'train'").drop("split")
     test = parts.where("split = 'test'")
     folded = compact(stage(folds(train, key, "label", k, seed), "class-folds"))
-    rows = folded.count()
+    # Rows of each fold and class: sizes and weights of a fold's training side leave the held-out rows aside.
+    sizes = {(r["fold"], r["label"]): r["n"] for r in folded.groupBy("fold", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def class_counts(held_out=None) -> dict:
+        counts: dict = {}
+        for (fold, value), n in sizes.items():
+            if fold != held_out:
+                counts[value] = counts.get(value, 0) + n
+        return counts
+
+    def fold_train(fold):
+        return with_balance_weight(folded.where(F.col("fold") != fold), class_counts(fold))
+
+    everything = class_counts()
+    weighted = with_balance_weight(folded, everything)
     results, models = [], {}
     for kind in kinds or list(spaces):
         rng = random.Random(f"{seed}|{kind}")
         candidates = [draw(spaces[kind], rng) for _ in range(n_iter)]
-        scores = [mean_fold_score(build(kind, c, rows=rows), folded, k, "label", False) for c in candidates]
+        scores = [
+            mean_fold_score(
+                lambda fold, c=c: build(kind, c, rows=sum(class_counts(fold).values())), folded, k, "label", False, fold_train
+            )
+            for c in candidates
+        ]
         best = max(range(n_iter), key=lambda i: scores[i])
-        model = build(kind, candidates[best], rows=rows).fit(folded)
+        model = build(kind, candidates[best], rows=sum(everything.values())).fit(weighted)
         f1 = classifier_metrics(model.transform(test), "label", "prediction").first()["f1_macro"]
         results.append((kind, json.dumps(candidates[best]), scores[best], f1))
         models[kind] = model

@@ -16,14 +16,14 @@ MAX_CANDIDATES = 100_000
 def exact_quantiles(
     df: DataFrame, column: str | Column, probabilities: list[float], max_candidates: int = MAX_CANDIDATES
 ) -> list[float | None]:
-    """Exact quantiles with linear interpolation between neighbours.
+    """Exact quantiles with linear interpolation between neighbours; NULL and NaN are missing.
 
     A mergeable sketch brackets each wanted rank, one scan counts what lies below and inside the brackets, and only the
     distinct values inside are fetched. A bracket that holds too many distinct values is narrowed again, so the fetched
     data is bounded whatever the size and skew of the table.
     """
     col = F.col(column) if isinstance(column, str) else column
-    values = df.select(col.cast("double").alias("v")).where(F.col("v").isNotNull())
+    values = df.select(col.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     total, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
     if not total:
         return [None] * len(probabilities)

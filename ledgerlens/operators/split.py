@@ -21,13 +21,18 @@ HASH_DIGITS = 4  # 65,536 buckets per class
 
 
 def add_label(df: DataFrame, column: str = "BHAR0_2", threshold: float = RETURN_THRESHOLD) -> DataFrame:
-    """1 when the return is above the threshold, else 0, also for a missing return.
+    """1 when the return is above the threshold, else 0, also for a missing return, which NaN is.
 
     A table without the return column is given back unchanged.
     """
     if column.lower() not in [c.lower() for c in df.columns]:
         return df
-    return df.withColumn("label", F.when(F.col(column) > threshold, 1).otherwise(0))
+    return df.withColumn("label", above(column, threshold))
+
+
+def above(column: str, threshold: float) -> Column:
+    """1 above the threshold, else 0. Spark orders NaN above all numbers, so it is asked for first."""
+    return F.when(~F.isnan(column) & (F.col(column) > threshold), 1).otherwise(0)
 
 
 def row_hash(key: Column | str, seed: int) -> Column:

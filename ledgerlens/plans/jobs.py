@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from ledgerlens.functions.text import clean_sentences, word_count
 from ledgerlens.operators import features, models, profile, split, topics, versions
 from ledgerlens.operators.vectorize import MAX_FEATURES, fit_vocabulary, vectorizer
 from ledgerlens.session import stage
+from ledgerlens.sources import models as saved
 from ledgerlens.sources import tables
 
 
@@ -37,7 +39,7 @@ class JobConfig:
     max_features: int = MAX_FEATURES
     semantic_components: int = features.SEMANTIC_COMPONENTS
     tune_topics: list[int] = field(default_factory=list)
-    tune_sample: int = 2000
+    tune_sample: int | None = None  # all rows, unless the caller asks for a sample
     alpha: float = models.JOB_ALPHA
     top: int = 10
     columnar_input: bool = False
@@ -94,52 +96,79 @@ def data_job(reports: DataFrame, folder: str, config: JobConfig, source: str = "
 
 
 def analysis_job(spark: SparkSession, folder: str, config: JobConfig, version: str | None = None) -> dict:
-    """Embeddings, sentiment, topics, features and an explaining regression on the training part."""
+    """Embeddings, sentiment, topics, features and an explaining regression on the training part.
+
+    Texts are read twice: for the vocabulary, and in the map that writes sentiment, length features and the count matrix.
+    Topics, embeddings and features follow from that written table. Every result and every fitted model is saved under
+    ``folder/analysis/<version>/<topic method>-<embedding>``. Without returns there is no regression, as the data job allows such a table.
+    """
     version = version or versions.VersionRegistry(spark, f"{folder}/versions").latest()
     if version is None:
         raise ValueError("no registered version; run the data job first")
+    out = f"{folder}/analysis/{version}/{config.topic_method}-{config.embedding}"
     splits = tables.read_splits(spark, f"{folder}/splits", version)
     text = profile.text_column(splits, ("clean_sent", "ea_text"))
     train = profile.fill_text(splits.where("split = 'train'"), text)
+    extra = [c for c in ("label", config.returns) if c in splits.columns]
     vocabulary = fit_vocabulary(train, text, config.max_features)
-    embedder = features.Embedder(config.embedding, config.max_features).fit(train, text, vocabulary)
-    scored = train.select(config.key, F.col("label"), sentiment.analyze(text).alias("s")).select(
-        config.key, "label", "s.*"
-    )
     counter = vectorizer(vocabulary, text, output="dtm")
-    vectors = stage(counter.transform(train.select(config.key, text)), "vectors")
-    count = config.topics
-    tuning = None
+    mapped = counter.transform(train.select(config.key, *extra, text, sentiment.analyze(text).alias("s")))
+    mapped = features.add_statistical_vector(mapped, text)
+    mapped.write.mode("overwrite").parquet(f"{out}/vectors")
+    vectors = spark.read.parquet(f"{out}/vectors")
+    scored = vectors.select(config.key, *extra, "s.*")
+    tables.write_result(scored, f"{out}/sentiment", "parquet")
+    embedder = features.Embedder(config.embedding, config.max_features).fit(train, text, vocabulary)
+    saved.save_embedder(spark, embedder, f"{out}/embedder")
+    tables.write_result(embedder.transform(train.select(config.key, text)).drop(text), f"{out}/embeddings", "parquet")
+    count, tuning = config.topics, None
     if config.tune_topics:
-        sample = stage(split.exact_sample(vectors, config.key, config.tune_sample, config.seed), "tuning")
-        terms = F.split(text, " ")
+        sample = vectors
+        if config.tune_sample is not None:
+            sample = stage(split.exact_sample(vectors, config.key, config.tune_sample, config.seed), "tuning")
+        terms = topics.matrix_terms("dtm", counter.vocabulary)
         tuning = topics.tune_topics(sample, "dtm", counter.vocabulary, sample, terms, config.tune_topics)
+        tables.write_result(tuning, f"{out}/tuning")
         count = topics.best_topic_count(tuning).first()["topics"]
     if config.topic_method == "nmf":
         topic_model = topics.fit_nmf(vectors, "dtm", count)
         weights = topics.topic_word_weights(spark, topic_model.components.T, counter.vocabulary)
+        distribution = topic_model.transform(vectors.select(config.key, "dtm"), "dtm", "topic_weights")
     else:
         topic_model = topics.fit_lda(vectors, "dtm", count)
         weights = topics.topic_word_weights(spark, topic_model.topicsMatrix().toArray(), counter.vocabulary)
+        distribution = topic_model.transform(vectors.select(config.key, "dtm"))
+        distribution = distribution.withColumn("topic_weights", vector_to_array("topic_vector"))
+    saved.save_topic_model(spark, topic_model, counter.vocabulary, f"{out}/topic_model")
+    tables.write_result(distribution.select(config.key, "topic_weights"), f"{out}/topic_distributions", "parquet")
+    top = topics.top_words(weights)
+    lines = tables.topic_word_lines(topics.word_lists(top))
+    tables.write_result(lines.select("line"), f"{out}/topic_words", "text")
+    tables.write_result(lines.select("json"), f"{out}/topic_words_json", "text")
     bundle = features.FeatureBundle(
         text, config.max_features, config.semantic_components, count, topic_iterations=topics.LDA_FEATURE_ITER
     ).fit(train, vocabulary, vectors)
-    table = stage(bundle.transform(train).select(config.key, config.returns, "features"), "features")
-    usable = table.where(F.col(config.returns).isNotNull())
-    fitted = models.lasso(config.alpha, label=config.returns).fit(usable)
-    importance = models.coefficient_table(spark, fitted.coefficients, bundle.names())
-    return {
+    saved.save_features(spark, bundle, f"{out}/feature_bundle")
+    bundled = bundle.from_matrix(vectors)
+    tables.write_result(bundled.select(config.key, *extra, "features"), f"{out}/features", "parquet")
+    result = {
         "version": version,
+        "folder": out,
         "embedder": embedder,
-        "sentiment": scored,
+        "sentiment": spark.read.parquet(f"{out}/sentiment"),
         "topic_model": topic_model,
-        "topic_words": topics.top_words(weights),
+        "topic_words": top,
         "tuning": tuning,
-        "features": table,
-        "lasso": fitted,
-        "importance": importance,
-        "top_features": models.top_features(importance, config.top),
+        "features": spark.read.parquet(f"{out}/features"),
     }
+    if config.returns not in extra:
+        return result
+    usable = result["features"].where(F.col(config.returns).isNotNull() & ~F.isnan(config.returns))
+    fitted = models.lasso(config.alpha, label=config.returns).fit(usable)
+    fitted.write().overwrite().save(f"{out}/lasso")
+    importance = models.coefficient_table(spark, fitted.coefficients, bundle.names())
+    tables.write_result(importance, f"{out}/coefficients")
+    return result | {"lasso": fitted, "importance": importance, "top_features": models.top_features(importance, config.top)}
 
 
 def full_job(reports: DataFrame, folder: str, config: JobConfig, source: str = "") -> dict:
@@ -154,6 +183,9 @@ def training_job(table: DataFrame, key: str, returns: str, folder: str, lasso_co
     tables.write_result(trained["lasso"]["coefficients"], f"{folder}/lasso_coefficients")
     tables.write_result(trained["lasso"]["nonzero"], f"{folder}/nonzero_lasso_coefficients")
     tables.write_result(trained["classifier"]["results"], f"{folder}/classifier_results", "json")
+    trained["lasso"]["model"].write().overwrite().save(f"{folder}/lasso")
+    for kind, model in trained["classifier"]["models"].items():
+        model.write().overwrite().save(f"{folder}/classifiers/{kind}")
     best = trained["classifier"]["models"][trained["classifier"]["best"]]
     best.write().overwrite().save(f"{folder}/best_classifier")
     return trained
@@ -175,11 +207,9 @@ def score_texts(df: DataFrame, key: str, text: str) -> DataFrame:
         "word_count",
         "s.*",
         sentiment.sentiment_class(net, sentiment.SUMMARY_LIMIT).alias("summary_class"),
-        signals.movement(net)["movement"].alias("movement"),
-        signals.text_confidence("_text").alias("confidence"),
-        signals.impact_band(net)["impact"].alias("impact"),
+        signals.score_band(net).alias("band"),
         *metrics.METRIC_PATTERNS,
         signals.keyword_topics("_text").alias("keyword_topics"),
         signals.insight_flags("_text").alias("insights"),
-        signals.key_factors("_text", net).alias("factors"),
+        signals.named_factors("_text").alias("factors"),
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ledgerlens.functions import metrics, sentiment
+from ledgerlens.functions import metrics, sentiment, signals
+from ledgerlens.functions.wordlists import KEYWORD_TOPICS
 from ledgerlens.operators import evaluate, features, models, split
 from ledgerlens.plans import jobs
 from ledgerlens.queries import sql_text as q
@@ -272,7 +273,8 @@ def group_importance(spark, folder):
             f"round(s.{c}, 6) AS {c}" for c in q.SCORES)},
         CASE WHEN net_sentiment > 0.2 THEN 'Positive' WHEN net_sentiment < -0.2 THEN 'Negative' ELSE 'Neutral' END
           AS summary_class,
-        CASE WHEN net_sentiment > 0.5 THEN 'Up' WHEN net_sentiment < -0.3 THEN 'Down' ELSE 'Flat' END AS movement,
+        CASE WHEN net_sentiment > 0.5 THEN 'strong_up' WHEN net_sentiment > 0.2 THEN 'slight_up'
+          WHEN net_sentiment < -0.5 THEN 'strong_down' WHEN net_sentiment < -0.2 THEN 'slight_down' ELSE 'neutral' END AS band,
         {", ".join(metrics.METRIC_PATTERNS)}
         FROM scores s JOIN metrics m ON m.report_id = s.report_id""",
         q.scores_table("reports", "report_id", "ea_text", keep=", ea_text"),
@@ -287,18 +289,44 @@ def text_scoring(spark, folder):
         F.col("word_count").cast("long").alias("word_count"),
         *[F.round(c, 6).alias(c) for c in q.SCORES],
         "summary_class",
-        "movement",
+        "band",
         *metrics.METRIC_PATTERNS,
     )
 
 
-@query("text_scoring_details")
+def keyword_ids() -> str:
+    """SQL list of the keyword topics with two hits or more."""
+    items = []
+    for number, words in enumerate(KEYWORD_TOPICS.values()):
+        hits = " + ".join(f"contains(low, '{w}')::INTEGER" for w in words)
+        items.append(f"CASE WHEN {hits} >= 2 THEN {number} END")
+    return "list_filter([" + ", ".join(items) + "], lambda x: x IS NOT NULL)"
+
+
+@query(
+    "text_scoring_details",
+    with_reports(
+        f"""SELECT report_id, array_to_string({keyword_ids()}, '|') AS keyword_topics,
+        concat_ws('|', CASE WHEN contains(low, 'revenue') THEN CASE
+            WHEN contains(low, 'growth') OR contains(low, 'increase') THEN 'revenue_up'
+            WHEN contains(low, 'decline') OR contains(low, 'decrease') THEN 'revenue_down' END END,
+          CASE WHEN contains(low, 'margin') THEN CASE
+            WHEN contains(low, 'expanded') OR contains(low, 'increase') THEN 'margin_up'
+            WHEN contains(low, 'contracted') OR contains(low, 'decrease') THEN 'margin_down' END END) AS insights,
+        concat_ws('|', CASE WHEN contains(low, 'growth') OR contains(low, 'increase') THEN 'growth' END,
+          CASE WHEN contains(low, 'decline') OR contains(low, 'decrease') THEN 'decline' END) AS factors
+        FROM (SELECT report_id, lower(ea_text) AS low FROM reports)"""
+    ),
+)
 def text_scoring_details(spark, folder):
     """The nested results of the same pass."""
     scored = jobs.score_texts(reports(spark, folder), "report_id", "ea_text")
+    ids = F.transform("keyword_topics", lambda t: t["topic_id"].cast("string"))
+    # The made reports name neither guidance nor a changed margin; "none" stands for no insight.
+    insights = F.array_remove("insights", signals.NO_INSIGHT)
     return scored.select(
-        "report_id", "confidence", "impact", F.to_json("keyword_topics").alias("keyword_topics"),
-        F.to_json("insights").alias("insights"), F.to_json("factors").alias("factors"),
+        "report_id", F.array_join(ids, "|").alias("keyword_topics"),
+        F.array_join(insights, "|").alias("insights"), F.array_join("factors", "|").alias("factors"),
     )
 
 
@@ -352,7 +380,7 @@ def cross_validate(spark, folder):
     """Fold scores of a logistic regression, train and test side."""
     labelled = split.add_label(feature_vectors(spark, folder), "bhar0_2")
     estimator = models.build("LogisticRegression", {"C": 1.0}, rows=labelled.count())
-    return models.cross_validate(estimator, labelled, "report_id", "label", 3)
+    return models.cross_validate(estimator, labelled, "report_id", "label")
 
 
 @query("forest_report")
@@ -369,14 +397,15 @@ def forest_report(spark, folder):
 def evaluate_classifier(spark, folder):
     labelled = split.add_label(feature_vectors(spark, folder), "bhar0_2")
     parts = compact(stage(split.stratified_split(labelled, "report_id"), "evaluate-parts"))
-    model = models.build("LogisticRegression", {"C": 1.0}, rows=10_000).fit(parts.where("split = 'train'"))
+    train = parts.where("split = 'train'")
+    model = models.build("LogisticRegression", {"C": 1.0}, rows=train.count()).fit(train)
     return models.evaluate_classifier(model, parts.where("split = 'test'"))
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
     labelled = split.add_label(feature_vectors(spark, folder), "bhar0_2")
-    model = models.build("RandomForest", {"trees": 10, "depth": 4}).fit(labelled)
+    model = models.build("RandomForest", {"trees": 50, "depth": 5}).fit(labelled)
     return models.feature_importance(spark, model, FEATURES)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerlens.functions.text import BOILERPLATE
 from ledgerlens.functions.wordlists import ENGLISH_STOP_WORDS, LEXICON
 
 WORD = r"[\p{L}\p{N}_]+"
@@ -60,9 +61,7 @@ def rounded(columns: list[str], digits: int = 6) -> str:
 
 
 GOOD_SENTENCE = (
-    f"(len(regexp_extract_all(s, '[^{SPACE}]+')) BETWEEN 5 AND 100 AND NOT regexp_matches(lower(s), "
-    r"'safe harbor|forward-looking statement|non-gaap|non gaap|investor relations|www\.[a-zA-Z0-9-]+\.com"
-    r"|securities act|securities and exchange commission|for further information'))"
+    f"(len(regexp_extract_all(s, '[^{SPACE}]+')) BETWEEN 5 AND 100 AND NOT regexp_matches(lower(s), '{BOILERPLATE}'))"
 )
 
 

@@ -367,8 +367,10 @@ def exact_sample(spark, folder):
 
 
 HASH_COLUMNS = ["report_id", "segment", "ea_text"]
-HASH_SQL = """substring(md5(CAST(coalesce(sum(('0x' || substring(md5(concat_ws('|',
-  coalesce(report_id::VARCHAR, '\\N'), coalesce(segment, '\\N'), coalesce(ea_text, '\\N'))), 1, 8))::BIGINT), 0)
+HASH_PARTS = " || ".join(
+    f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in HASH_COLUMNS
+)
+HASH_SQL = f"""substring(md5(CAST(coalesce(sum(('0x' || substring(md5({HASH_PARTS}), 1, 16))::UBIGINT), 0)
   AS VARCHAR)), 1, 10)"""
 
 
@@ -607,18 +609,18 @@ def keyword_topics(spark, folder):
     "insight_flags",
     with_reports(
         """SELECT report_id, CASE WHEN len(found) > 0 THEN array_to_string(found, '|')
-        ELSE 'No clear financial indicators found in the text.' END AS insights FROM (
+        ELSE 'none' END AS insights FROM (
         SELECT report_id, list_filter([
           CASE WHEN contains(low, 'revenue') THEN CASE
-            WHEN contains(low, 'growth') OR contains(low, 'increase') THEN 'Revenue growth mentioned positively'
-            WHEN contains(low, 'decline') OR contains(low, 'decrease') THEN 'Revenue decline mentioned' END END,
+            WHEN contains(low, 'growth') OR contains(low, 'increase') THEN 'revenue_up'
+            WHEN contains(low, 'decline') OR contains(low, 'decrease') THEN 'revenue_down' END END,
           CASE WHEN contains(low, 'margin') THEN CASE
-            WHEN contains(low, 'expanded') OR contains(low, 'increase') THEN 'Margin expansion indicated'
-            WHEN contains(low, 'contracted') OR contains(low, 'decrease') THEN 'Margin contraction indicated' END END,
+            WHEN contains(low, 'expanded') OR contains(low, 'increase') THEN 'margin_up'
+            WHEN contains(low, 'contracted') OR contains(low, 'decrease') THEN 'margin_down' END END,
           CASE WHEN contains(low, 'guidance') THEN CASE
-            WHEN contains(low, 'raising') OR contains(low, 'positive') THEN 'Guidance raised'
-            WHEN contains(low, 'lowering') OR contains(low, 'negative') THEN 'Guidance lowered'
-            ELSE 'Guidance maintained' END END], lambda x: x IS NOT NULL) AS found
+            WHEN contains(low, 'raising') OR contains(low, 'positive') THEN 'guidance_raised'
+            WHEN contains(low, 'lowering') OR contains(low, 'negative') THEN 'guidance_lowered'
+            ELSE 'guidance_kept' END END], lambda x: x IS NOT NULL) AS found
         FROM (SELECT report_id, lower(ea_text) AS low FROM reports))"""
     ),
 )
@@ -666,50 +668,32 @@ def scaled_scores(spark, folder):
 @query(
     "impact_bands",
     with_reports(
-        f"""SELECT report_id, CASE WHEN score > 0.5 THEN 'Up' WHEN score < -0.3 THEN 'Down' ELSE 'Flat' END AS movement,
-        CASE WHEN score > 0.5 THEN '+2.8%' WHEN score < -0.3 THEN '-2.1%' ELSE '+0.3%' END AS movement_pct,
-        CASE WHEN {q.word_count('ea_text')} > 100 THEN 0.75 ELSE 0.5 END::DOUBLE AS text_confidence,
-        CASE WHEN score > 0.5 THEN 'Likely Positive Impact' WHEN score > 0.2 THEN 'Slight Positive Impact'
-          WHEN score < -0.5 THEN 'Likely Negative Impact' WHEN score < -0.2 THEN 'Slight Negative Impact'
-          ELSE 'Neutral Impact' END AS impact,
-        CASE WHEN score > 0.5 THEN 0.85 WHEN score > 0.2 THEN 0.65 WHEN score < -0.5 THEN 0.80
-          WHEN score < -0.2 THEN 0.60 ELSE 0.70 END::DOUBLE AS confidence FROM scaled""",
+        """SELECT report_id, CASE WHEN score > 0.5 THEN 'strong_up' WHEN score > 0.2 THEN 'slight_up'
+          WHEN score < -0.5 THEN 'strong_down' WHEN score < -0.2 THEN 'slight_down' ELSE 'neutral' END AS band
+        FROM scaled""",
         q.scores_table("reports", "report_id", "ea_text"),
         BAND_SQL,
     ),
 )
 def impact_bands(spark, folder):
-    scored = scaled_scores(spark, folder).select(
-        "report_id",
-        signals.movement("score").alias("m"),
-        signals.text_confidence("ea_text").alias("text_confidence"),
-        signals.impact_band("score").alias("b"),
-    )
-    return scored.select("report_id", "m.movement", "m.movement_pct", "text_confidence", "b.impact", "b.confidence")
+    return scaled_scores(spark, folder).select("report_id", signals.score_band("score").alias("band"))
 
 
 @query(
     "key_factors",
     with_reports(
-        f"""SELECT report_id, array_to_string(CASE WHEN len(found) > 0 THEN found ELSE general END, '|') AS factors FROM (
-        SELECT report_id, list_filter([
-          CASE WHEN contains(low, 'growth') OR contains(low, 'increase') THEN 'Growth Metrics:Positive' END,
-          CASE WHEN contains(low, 'decline') OR contains(low, 'decrease') THEN 'Decline Metrics:Negative' END,
-          CASE WHEN contains(low, 'guidance') THEN CASE WHEN contains(low, 'raising') THEN 'Guidance Update:Positive'
-            WHEN contains(low, 'lowering') THEN 'Guidance Update:Negative' ELSE 'Guidance Maintained:Neutral' END END,
-          CASE WHEN contains(low, 'margin') THEN CASE WHEN contains(low, 'expanded') THEN 'Margin Trends:Positive'
-            WHEN contains(low, 'contracted') THEN 'Margin Trends:Negative' END END], lambda x: x IS NOT NULL) AS found,
-          ['Overall Sentiment:' || CASE WHEN score > 0.2 THEN 'Positive' WHEN score < -0.2 THEN 'Negative'
-             ELSE 'Neutral' END, 'Text Clarity:' || CASE WHEN words > 100 THEN 'Positive' ELSE 'Neutral' END] AS general
-        FROM (SELECT *, lower(ea_text) AS low, {q.word_count('ea_text')} AS words FROM scaled))""",
-        q.scores_table("reports", "report_id", "ea_text"),
-        BAND_SQL,
+        """SELECT report_id, array_to_string(list_filter([
+          CASE WHEN contains(low, 'growth') OR contains(low, 'increase') THEN 'growth' END,
+          CASE WHEN contains(low, 'decline') OR contains(low, 'decrease') THEN 'decline' END,
+          CASE WHEN contains(low, 'guidance') THEN CASE WHEN contains(low, 'raising') THEN 'guidance_raised'
+            WHEN contains(low, 'lowering') THEN 'guidance_lowered' ELSE 'guidance_kept' END END,
+          CASE WHEN contains(low, 'margin') THEN CASE WHEN contains(low, 'expanded') THEN 'margin_up'
+            WHEN contains(low, 'contracted') THEN 'margin_down' END END], lambda x: x IS NOT NULL), '|') AS factors
+        FROM (SELECT report_id, lower(ea_text) AS low FROM reports)"""
     ),
 )
 def key_factors(spark, folder):
-    found = scaled_scores(spark, folder).select("report_id", signals.key_factors("ea_text", "score").alias("f"))
-    lines = F.transform("f", lambda x: F.concat_ws(":", x["factor"], x["impact"]))
-    return found.select("report_id", F.array_join(lines, "|").alias("factors"))
+    return reports(spark, folder).select("report_id", F.array_join(signals.named_factors("ea_text"), "|").alias("factors"))
 
 
 @query(

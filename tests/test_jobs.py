@@ -1,9 +1,12 @@
 import pytest
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.versions import VersionRegistry
 from ledgerlens.plans import jobs
 from ledgerlens.queries.registry import reports
+from ledgerlens.sources import models as saved
 from ledgerlens.sources import tables
 from tests.conftest import values
 
@@ -77,6 +80,20 @@ def test_analysis_job_ranks_named_features(job):
     assert done["topic_words"].count() > 0 and done["sentiment"].count() > 0
 
 
+def test_analysis_job_saves_every_result(spark, job):
+    _, config, done = job
+    out, n = done["folder"], done["config"]["data_splits"]["train_size"]
+    for name in ("vectors", "sentiment", "embeddings", "topic_distributions", "features"):
+        assert spark.read.parquet(f"{out}/{name}").count() == n
+    model, vocabulary = saved.load_topic_model(spark, f"{out}/topic_model")
+    assert model.vocabSize() == len(vocabulary) and saved.load_embedder(spark, f"{out}/embedder").text == "clean_sent"
+    assert spark.read.text(f"{out}/topic_words").count() == done["tuning"].agg(F.max_by("topics", "mean_umass")).first()[0]
+    assert spark.read.option("header", True).csv(f"{out}/tuning").count() == 2
+    weights = spark.read.parquet(f"{out}/topic_distributions")
+    assert weights.where(F.abs(F.aggregate("topic_weights", F.lit(0.0), lambda a, b: a + b) - 1) > 1e-6).count() == 0
+    assert LinearRegressionModel.load(f"{out}/lasso").coefficients == done["lasso"].coefficients
+
+
 def test_nmf_job_on_a_saved_version(spark, job):
     folder, config, done = job
     from dataclasses import replace
@@ -95,6 +112,8 @@ def test_training_job_writes_its_results(spark, job, tmp_path):
         done["features"], "report_id", "bhar0_2", folder, {"alphas": 2, "k": 2}, {"n_iter": 1, "k": 2, "spaces": spaces}
     )
     assert trained["classifier"]["best"] == "RandomForest"
+    assert RandomForestClassificationModel.load(f"{folder}/classifiers/RandomForest").getNumTrees == 3
+    assert LinearRegressionModel.load(f"{folder}/lasso").numFeatures == trained["lasso"]["model"].numFeatures
     assert spark.read.option("header", True).csv(f"{folder}/lasso_coefficients").count() == 11
     assert spark.read.json(f"{folder}/classifier_results").count() == 1
 
@@ -123,4 +142,7 @@ def test_data_job_without_returns(spark, data, tmp_path):
     done = jobs.data_job(texts, str(tmp_path / "d"), jobs.JobConfig(returns="bhar0_2"))
     sizes = done["config"]["data_splits"]
     assert sizes["stratify_column"] is None
+    config = jobs.JobConfig(returns="bhar0_2", topics=2, max_features=50, semantic_components=2)
+    analysed = jobs.analysis_job(spark, str(tmp_path / "d"), config)
+    assert analysed["features"].count() == sizes["train_size"] and "lasso" not in analysed
     assert sizes["train_size"] + sizes["val_size"] + sizes["test_size"] == texts.count()

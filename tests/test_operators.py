@@ -144,7 +144,21 @@ def test_fingerprint_ignores_order_but_not_content(spark):
     version = versions.content_version(spark.createDataFrame(rows, "i int, t string"))
     assert versions.content_version(spark.createDataFrame(rows[::-1], "i int, t string").repartition(3)) == version
     assert versions.content_version(spark.createDataFrame(rows[1:], "i int, t string")) != version
-    assert len(version) == 10
+    shifted = [versions.content_version(spark.createDataFrame([r], "a string, b string")) for r in (("a|b", "c"), ("a", "b|c"), ("1:a", None), (None, "1:a"), ("", "-"))]
+    assert len(set(shifted)) == 5 and len(version) == 10
+
+
+def test_missing_numbers_are_left_out(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, 0.5), (2, nan), (3, None), (4, 0.01), (5, -inf), (6, inf)]
+    df = spark.createDataFrame(rows, "i int, x double")
+    labels = {r["i"]: r["label"] for r in split.add_label(df, "x").collect()}
+    assert labels == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1}
+    finite = df.where("i in (1, 2, 3, 4)")
+    found = profile.describe(finite, "x").first()
+    assert (found["count"], found["min"], found["q50"], found["max"]) == (2, 0.01, 0.255, 0.5)
+    assert profile.box_statistics(finite, "x").first()["outliers"] == 0
+    assert sum(r["n"] for r in profile.histograms(finite, {"x": F.col("x")}, 4).collect()) == 2
 
 
 def test_lexicon_forms_agree(spark):
