@@ -50,6 +50,13 @@ HEADLINE = [
     "svd_features",
     "nmf_topics",
     "lasso_fit",
+    "lasso_search",
+    "cross_validate",
+    "classifiers",
+    "training_job",
+    "tune_topics",
+    "word2vec_docs",
+    "feature_bundle",
     "full_job",
 ]
 # Query -> table whose rows are the documents of the rate.

@@ -14,7 +14,7 @@ from ledgerlens.functions import metrics, sentiment, signals
 from ledgerlens.functions.text import clean_sentences, word_count
 from ledgerlens.operators import features, models, profile, split, topics, versions
 from ledgerlens.operators.vectorize import MAX_FEATURES, fit_vocabulary, vectorizer
-from ledgerlens.session import stage
+from ledgerlens.session import spread, stage
 from ledgerlens.sources import models as saved
 from ledgerlens.sources import tables
 
@@ -61,7 +61,8 @@ def data_job(reports: DataFrame, folder: str, config: JobConfig, source: str = "
     """
     spark = reports.sparkSession
     if not config.columnar_input:
-        reports = stage(reports, "reports")
+        # Files that can't be split come as one partition each; cleaning is spread over the cores.
+        reports = stage(spread(reports, config.key), "reports")
     version = versions.content_version(reports)
     prepared = prepare(reports, config)
     settings = (config.test_size, config.val_size, config.seed)

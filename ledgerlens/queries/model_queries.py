@@ -353,7 +353,7 @@ def lasso_nonzero(spark, folder):
 @query("lasso_search")
 def lasso_search(spark, folder):
     """Random search over alpha with cross-validation: score of every candidate."""
-    trained = models.train_lasso(feature_vectors(spark, folder), "report_id", "bhar0_2", FEATURES, alphas=3, k=2)
+    trained = models.train_lasso(feature_vectors(spark, folder), "report_id", "bhar0_2", FEATURES)
     return trained["search"]
 
 
@@ -430,9 +430,7 @@ def feature_bundle_reload(spark, folder):
 
 
 def job_config():
-    return jobs.JobConfig(
-        returns="bhar0_2", topics=5, max_features=200, semantic_components=5, alpha=1e-5, top=10
-    )
+    return jobs.JobConfig(returns="bhar0_2", alpha=1e-5)
 
 
 @query("full_job")
@@ -450,7 +448,7 @@ def training_job(spark, folder):
         "report_id",
         "bhar0_2",
         scratch(spark, "training"),
-        {"names": FEATURES, "alphas": 2, "k": 2},
+        {"names": FEATURES},
         {"n_iter": 1, "k": 2, "kinds": ["LogisticRegression"], "spaces": QUERY_SPACES},
     )
     return done["classifier"]["results"]

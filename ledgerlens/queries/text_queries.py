@@ -130,14 +130,15 @@ def sentiment_combined(spark, folder):
             f"round(CASE WHEN blank THEN {default} ELSE {c} END, 6) AS {c}"
             for c, default in zip(SCORES, ["0", "0", "NULL", "NULL", "0", "1"])
         )} FROM scores""",
-        "texts AS (SELECT doc_id, CASE WHEN lang = 'en' THEN text ELSE ' ' || chr(9) END AS t FROM documents)",
+        "texts AS (SELECT doc_id, text AS t FROM documents UNION ALL SELECT -1 - doc_id, ' ' || chr(9) FROM documents)",
         "flagged AS (SELECT *, trim(regexp_replace(t, '\\s', '', 'g')) = '' AS blank FROM texts)",
         q.scores_table("flagged", "doc_id", "t", keep=", blank"),
     ),
 )
 def sentiment_blank_default(spark, folder):
     docs = documents(spark, folder)
-    texts = docs.select("doc_id", F.when(F.col("lang") == "en", F.col("text")).otherwise(" \t").alias("t"))
+    blank = docs.select((-1 - F.col("doc_id")).alias("doc_id"), F.lit(" \t").alias("t"))
+    texts = docs.select("doc_id", F.col("text").alias("t")).unionByName(blank)
     scored = texts.select("doc_id", sentiment.analyze("t").alias("s"))
     return rounded(scored.select("doc_id", "s.*"), ["doc_id"])
 

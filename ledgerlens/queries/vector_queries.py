@@ -301,14 +301,14 @@ def matrix(spark, folder, size=VOCABULARY_SIZE, method="count"):
 def lda_topics(spark, folder):
     """Topics of documents by a fitted LDA model."""
     vectors, _ = matrix(spark, folder)
-    model = topics.fit_lda(vectors, "vector", 10, max_iter=10)
+    model = topics.fit_lda(vectors, "vector", 10)
     return topics.score_documents(model, vectors, "doc_id", "vector")
 
 
 @query("lda_topic_words")
 def lda_topic_words(spark, folder):
     vectors, vectorizer = matrix(spark, folder)
-    model = topics.fit_lda(vectors, "vector", 10, max_iter=10)
+    model = topics.fit_lda(vectors, "vector", 10)
     weights = topics.topic_word_weights(spark, model.topicsMatrix().toArray(), vectorizer.vocabulary)
     return topics.top_words(weights)
 

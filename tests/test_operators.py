@@ -3,6 +3,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import evaluate, lexicon, models, ordered, profile, split, versions
@@ -230,3 +231,21 @@ def test_split_by_shuffle_join_gives_the_same_rows(spark, monkeypatch):
     broadcast = sorted(values(split.stratified_split(df, "id").select("id", "split")))
     monkeypatch.setattr(split, "small", lambda table: table)
     assert sorted(values(split.stratified_split(df, "id").select("id", "split"))) == broadcast
+
+
+def test_lasso_on_moments_equals_fits_per_fold(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        x = [rng.gauss(0, s) for s in (1, 5, 0.2)] + [3.0]
+        rows.append((i, i % 3, x, 2 * x[0] - 0.3 * x[1] + rng.gauss(0, 0.5) + 7))
+    df = spark.createDataFrame(rows, "key int, fold int, x array<double>, y double")
+    folded = df.select("key", "fold", array_to_vector("x").alias("features"), "y").repartition(5)
+    moments = models.fold_moments(folded, 3, "y")
+    for alpha in (0.001, 0.1, 1.5):
+        fitted = models.lasso(alpha, label="y").fit(folded)
+        b, intercept = models.lasso_on_moments(moments.sum(axis=0), alpha)
+        assert list(b) == pytest.approx(list(fitted.coefficients), abs=1e-5)
+        assert intercept == pytest.approx(fitted.intercept, abs=1e-4)
+        wanted = models.mean_fold_score(models.lasso(alpha, label="y"), folded, 3, "y", True)
+        assert models.lasso_fold_score(moments, alpha) == pytest.approx(wanted, abs=1e-5)
