@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +33,16 @@ PART_ROWS = 8000
 MOST_AT_ONCE = 32_000
 # White space never lies within a token, so blank-separated words are encoded by themselves and remembered.
 WORD = re.compile(r"[^ \t\n\r\f\v]+")
-TAIL = ".,;:!?"
-CHUNK_CHARACTERS, REMEMBERED_WORDS, REMEMBERED_CHARACTERS = 1_000_000, 400_000, 20_000_000
+# Closing marks behind a letter or digit are a unit of their own; a blank in front changes nothing.
+CLOSING = re.compile(r"(?<=[^\W_])([.,;:!?]+)(?![^ \t\n\r\f\v])")
+CHUNK_CHARACTERS, REMEMBERED_WORDS, REMEMBERED_CHARACTERS = 1_000_000, 600_000, 20_000_000
 
 
 class WordIds:
     """Ids of texts as little-endian 32-bit numbers, through a bounded memory of words.
 
-    New words are encoded together: a word of letters is one unit of the tokenizer, whose last token alone ends in the
-    mark of a word's end, so the ids of many can be told apart. Closing marks are units of their own behind a letter.
+    The tokenizer lowers letters, which is done for A to Z beforehand. New words are encoded together: a word of letters is
+    one unit of the tokenizer, whose last token alone ends in the mark of a word's end, so the ids of many can be told apart.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -50,51 +52,40 @@ class WordIds:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
         self.size = 0
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def learn_cores(self, cores: list[str]) -> None:
-        ids = self.ids(" ".join(cores))
-        last = np.flatnonzero(self.ends[ids])
-        if len(last) == len(cores):
-            raw, at = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
-            self.cores.update((c, raw[at[i] : at[i + 1]]) for i, c in enumerate(cores))
-        else:  # a letter that normalises to more than letters
-            self.cores.update((c, self.ids(c).tobytes()) for c in cores)
-
     def learn(self, new: set[str]) -> None:
-        parts, fresh = [], set()
-        for word in new:
-            core = word.rstrip(TAIL)
-            if core.isalpha():
-                tail, core = word[len(core) :], core.lower() if core.isascii() else core
-                parts.append((word, core, tail))
-                fresh.update(x for x in (core,) if x not in self.cores)
-                if tail and tail not in self.cores:
-                    self.cores[tail] = self.ids(tail).tobytes()
-            else:
-                self.words[word] = self.ids(word).tobytes()
-        fresh_list = sorted(fresh)
-        for at in range(0, len(fresh_list), 500):
-            self.learn_cores(fresh_list[at : at + 500])
-        for word, core, tail in parts:
-            self.words[word] = self.cores[core] + self.cores[tail] if tail else self.cores[core]
+        plain = [w for w in new if w.isalpha()]
+        for at in range(0, len(plain), 500):
+            part = plain[at : at + 500]
+            ids = self.ids(" ".join(part))
+            last = np.flatnonzero(self.ends[ids])
+            if len(last) == len(part):
+                raw, ends = ids.tobytes(), (4 * (last + 1)).tolist()
+                self.words.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+            else:  # a letter that normalises to more than letters
+                self.words.update((w, self.ids(w).tobytes()) for w in part)
+        for word in new.difference(plain):
+            self.words[word] = self.ids(word).tobytes()
 
     def of(self, texts: list[str]) -> list[bytes]:
-        # str.split() knows four separators that are no white space to the tokenizer.
-        split = [WORD.findall(t) if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        new = {w for words in split for w in words if w not in self.words}
+        split = []
+        for text in texts:
+            if "<|" not in text:  # special tokens are told from plain text by their case
+                text = text.encode().lower().decode()
+            text = CLOSING.sub(r" \1", text)
+            # str.split() knows four separators that are no white space to the tokenizer.
+            split.append(WORD.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split())
+        new = set(chain.from_iterable(split)).difference(self.words)
         self.learn(new)
+        known = self.words.__getitem__
+        out = [b"".join(map(known, words)) for words in split]
         self.size += sum(map(len, new))
-        known = self.words
-        out = [b"".join([known[w] for w in words]) for words in split]
-        if len(known) > REMEMBERED_WORDS or self.size > REMEMBERED_CHARACTERS:
+        if len(self.words) > REMEMBERED_WORDS or self.size > REMEMBERED_CHARACTERS:
             self.words, self.size = {}, 0
-            if len(self.cores) > REMEMBERED_WORDS or sum(map(len, self.cores)) > REMEMBERED_CHARACTERS:
-                self.cores = {}
         return out
 
 

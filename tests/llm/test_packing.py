@@ -10,7 +10,7 @@ from ledgerlens.llm.packing import fit_vectors, pack, pack_documents, pieces
 FILE = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id bigint, text string, piece string, length int"
 TEXTS = [
-    None, "", " \n\t", "Don't STOP, it's 42 naïve cafés and more\x1cthings", "éte ́x", "İstanbul ΣΑΣ ΑΣ", "a<|endoftext|>b <|startoftext|>",
+    None, "", " \n\t", "Don't STOP, it's 42 naïve cafés and more\x1cthings", "éte ́x", "İstanbul ΣΑΣ ΑΣ", "a<|endoftext|>b <|startoftext|>", "A<|ENDOFTEXT|>. (b)., it's. 3.,; é.! ...",
     "word " * 5000, "x" * 30000, "日本語のテキスト。" * 900, "\U0001f600\U0001f600 !!??", "same", "same",
 ]
 
