@@ -357,21 +357,10 @@ def lasso_search(spark, folder):
     return trained["search"]
 
 
-# Small search spaces keep the registered query short; the library defaults are larger.
-QUERY_SPACES = {
-    "LogisticRegression": models.SEARCH_SPACES["LogisticRegression"],
-    "SVM": models.SEARCH_SPACES["SVM"],
-    "RandomForest": {"trees": ("int", 5, 10), "depth": ("int", 2, 4), "leaf": ("int", 1, 19), "balanced": [True]},
-    "GradientBoosting": {"trees": ("int", 3, 5), "rate": ("log", 0.05, 0.5), "depth": ("int", 2, 3)},
-}
-
-
 @query("classifiers")
 def classifiers(spark, folder):
     """Random search over four kinds of classifiers: best candidate and scores of each kind."""
-    trained = models.train_classifiers(
-        feature_vectors(spark, folder), "report_id", "bhar0_2", n_iter=1, k=2, spaces=QUERY_SPACES
-    )
+    trained = models.train_classifiers(feature_vectors(spark, folder), "report_id", "bhar0_2")
     return trained["results"]
 
 
@@ -413,7 +402,7 @@ def feature_importance(spark, folder):
 def feature_bundle(spark, folder):
     """Statistical, semantic and topic features of documents as named columns."""
     docs = stage(table(spark, folder, "documents").select("doc_id", "text"), "bundle-texts")
-    bundle = features.FeatureBundle("text", 500, 5, 5, topic_iterations=5).fit(docs)
+    bundle = features.FeatureBundle("text").fit(docs)
     combined = bundle.transform(docs).select("doc_id", "features")
     return features.vector_columns(combined, "features", bundle.names(), ["doc_id"])
 
@@ -423,7 +412,7 @@ def feature_bundle_reload(spark, folder):
     """The same features from a bundle that was saved and loaded again."""
     docs = stage(table(spark, folder, "documents").select("doc_id", "text"), "bundle-texts")
     path = scratch(spark, "bundle")
-    saved.save_features(spark, features.FeatureBundle("text", 300, 3, 3, topic_iterations=3).fit(docs), path)
+    saved.save_features(spark, features.FeatureBundle("text").fit(docs), path)
     bundle = saved.load_features(spark, path)
     combined = bundle.transform(docs).select("doc_id", "features")
     return features.vector_columns(combined, "features", bundle.names(), ["doc_id"])
@@ -449,6 +438,5 @@ def training_job(spark, folder):
         "bhar0_2",
         scratch(spark, "training"),
         {"names": FEATURES},
-        {"n_iter": 1, "k": 2, "kinds": ["LogisticRegression"], "spaces": QUERY_SPACES},
     )
     return done["classifier"]["results"]

@@ -12,6 +12,8 @@ from ledgerlens.session import stage
 from ledgerlens.sources import models as saved
 
 VOCABULARY_SIZE = 1000
+# Topics of a model, and the grid that the search for their number tries.
+TOPICS, TOPIC_COUNTS = 40, list(range(10, 101, 5))
 
 TERMS_SQL = f"""
 tokens AS (SELECT doc_id, lang, source, {q.vocabulary('text')} AS t FROM documents),
@@ -291,7 +293,7 @@ def class_word_freq(spark, folder):
     return counts.orderBy(F.desc("uses"), "word").limit(100)
 
 
-def matrix(spark, folder, size=VOCABULARY_SIZE, method="count"):
+def matrix(spark, folder, size=vectorize.MAX_FEATURES, method="count"):
     docs = documents(spark, folder).select("doc_id", "text")
     model = vectorize.fit_vectorizer(docs, "text", method, size)
     return stage(model.transform(docs).select("doc_id", "vector"), "matrix"), model
@@ -301,47 +303,47 @@ def matrix(spark, folder, size=VOCABULARY_SIZE, method="count"):
 def lda_topics(spark, folder):
     """Topics of documents by a fitted LDA model."""
     vectors, _ = matrix(spark, folder)
-    model = topics.fit_lda(vectors, "vector", 10)
+    model = topics.fit_lda(vectors, "vector", TOPICS)
     return topics.score_documents(model, vectors, "doc_id", "vector")
 
 
 @query("lda_topic_words")
 def lda_topic_words(spark, folder):
     vectors, vectorizer = matrix(spark, folder)
-    model = topics.fit_lda(vectors, "vector", 10)
+    model = topics.fit_lda(vectors, "vector", TOPICS)
     weights = topics.topic_word_weights(spark, model.topicsMatrix().toArray(), vectorizer.vocabulary)
     return topics.top_words(weights)
 
 
 @query("nmf_topics")
 def nmf_topics(spark, folder):
-    vectors, _ = matrix(spark, folder, 500, "tfidf")
-    model = topics.fit_nmf(vectors, "vector", 8, iterations=8)
+    vectors, _ = matrix(spark, folder, method="tfidf")
+    model = topics.fit_nmf(vectors, "vector", TOPICS)
     return model.transform(vectors, "vector").select("doc_id", "weights")
 
 
 @query("svd_features")
 def svd_features(spark, folder):
-    vectors, _ = matrix(spark, folder, 500, "tfidf")
-    scored = features.fit_lsa(vectors, "vector", 10).transform(vectors, "vector")
+    vectors, _ = matrix(spark, folder, method="tfidf")
+    scored = features.fit_lsa(vectors, "vector").transform(vectors, "vector")
     return scored.select("doc_id", "semantic")
 
 
 @query("svd_explained_variance")
 def svd_explained_variance(spark, folder):
-    vectors, _ = matrix(spark, folder, 500, "tfidf")
-    scores = stage(features.fit_lsa(vectors, "vector", 10).transform(vectors, "vector").select("semantic"), "lsa")
-    return features.explained_variance(scores, "semantic", vectors, "vector", 500)
+    vectors, vectorizer = matrix(spark, folder, method="tfidf")
+    scores = stage(features.fit_lsa(vectors, "vector").transform(vectors, "vector").select("semantic"), "lsa")
+    return features.explained_variance(scores, "semantic", vectors, "vector", len(vectorizer.vocabulary))
 
 
 @query("tune_topics")
 def tune_topics(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text")
-    model = vectorize.fit_vectorizer(docs, "text", "count", 500)
+    model = vectorize.fit_vectorizer(docs, "text", "count")
     vectors = stage(
         model.transform(docs).select("doc_id", "vector", vectorize.terms_of("text").alias("terms")), "tuning"
     )
-    return topics.tune_topics(vectors, "vector", model.vocabulary, vectors, "terms", [5, 10], 10, max_iter=5)
+    return topics.tune_topics(vectors, "vector", model.vocabulary, vectors, "terms", TOPIC_COUNTS)
 
 
 @query("word2vec_docs")
@@ -396,9 +398,9 @@ def embedder_reload(spark, folder):
 @query("topic_model_reload")
 def topic_model_reload(spark, folder):
     """Topics of documents from a saved and loaded model, with the words of each topic."""
-    vectors, vectorizer = matrix(spark, folder, 500)
+    vectors, vectorizer = matrix(spark, folder)
     path = scratch(spark, "topic-model")
-    saved.save_topic_model(spark, topics.fit_lda(vectors, "vector", 5, max_iter=5), vectorizer.vocabulary, path)
+    saved.save_topic_model(spark, topics.fit_lda(vectors, "vector", TOPICS), vectorizer.vocabulary, path)
     model, vocabulary = saved.load_topic_model(spark, path)
     weights = topics.topic_word_weights(spark, model.topicsMatrix().toArray(), vocabulary)
     lists = topics.word_lists(topics.top_words(weights))
