@@ -1,6 +1,8 @@
 """Balanced label propagation: shards of even row counts that keep linked documents together (operator 4, joins).
 
-Documents are linked when their texts are equal. Linked documents start evenly dealt. In each round every one of them looks
+Documents are linked when their texts are equal. A group larger than a shard fills whole shards, and what is left of it
+goes to one further shard with room, so it spans no more shards than it must. Other linked documents start evenly dealt over
+the room that is left. In each round every one of them looks
 through a join at the shards of its group and wants to move to the shard that holds most of it. Wishes are counted by
 (from, to, cell), where a cell is a hash range of groups - of documents, if a group is too large for a shard. The counts
 are bounded by shards^2 x cells; from them whole cells are admitted as far as every shard's quota allows, so a group moves
@@ -15,6 +17,8 @@ other. Repeated rows are rows of their own. An empty table gives no rows. Furthe
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,6 +72,46 @@ def admitted(cells: np.ndarray, load: np.ndarray, quota: np.ndarray) -> np.ndarr
     return granted
 
 
+def filled(sizes: list[int], quota: np.ndarray) -> list[list[tuple[int, int]]]:
+    """(shard, rows) of each group of ``sizes``, all larger than a shard: whole shards, then the rest in one shard if it fits.
+
+    The rests, largest first, go to the fullest shard that holds them; a rest that fits nowhere is cut at the emptiest ones.
+    """
+    room, out, rests, s = quota.astype(np.int64).copy(), [], [], 0
+    for g, size in enumerate(sizes):
+        own = []
+        while s < len(room) and 0 < room[s] <= size:
+            own.append((s, int(room[s])))
+            size -= own[-1][1]
+            room[s] = 0
+            s += 1
+        out.append(own)
+        rests.append((size, g))
+    for size, g in sorted(rests, reverse=True):
+        while size:
+            fits = np.flatnonzero(room >= size)
+            to = fits[room[fits].argmin()] if len(fits) else room.argmax()
+            out[g].append((int(to), int(min(size, room[to]))))
+            size -= out[g][-1][1]
+            room[to] -= out[g][-1][1]
+    return out
+
+
+def even(n: int, room: np.ndarray) -> np.ndarray:
+    """How many of ``n`` rows each shard gets when they are dealt as evenly as the room allows."""
+    level = bisect_left(range(int(room.max(initial=0))), n, key=lambda v: int(np.minimum(room, v).sum()))
+    dealt = np.minimum(room, level)
+    over = int(dealt.sum()) - n
+    dealt[np.flatnonzero(dealt == level)[len(dealt[dealt == level]) - over :]] -= 1
+    return dealt
+
+
+def passed(sums: np.ndarray, at: str):
+    """The number of the part, of those with the given sizes in a row, in which position ``at`` lies."""
+    ends = F.array(*map(F.lit, np.cumsum(sums).tolist()))
+    return F.size(F.filter(ends, lambda end: end <= F.col(at)))
+
+
 def propagate(linked: DataFrame, quota: np.ndarray, rounds: int) -> DataFrame:
     """``linked`` (with shard) after the rounds; its rows per shard stay within the quota."""
     spark, shards = linked.sparkSession, len(quota)
@@ -100,15 +144,29 @@ def shards_of(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Da
     columns = ["doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard")]
     columns += [F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard")]
     quota = np.array([n // shards + (s < n % shards) for s in range(shards)], np.int64)
-    groups = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*GROUP)
+    groups = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     groups = stage(groups, "groups")  # a plain table, so that Spark can split a large group in the join
-    marked = stage(rows.join(groups.withColumn("linked", F.lit(True)), GROUP, "left"), "marked")
-    linked = numbered(marked.filter("linked").drop("linked"), "at", None, n)
-    linked = stage(linked.withColumn("shard", F.pmod("at", F.lit(shards)).cast("int")).drop("at"), "labels")
-    linked = propagate(linked, quota, rounds)
+    marked = stage(rows.join(groups, GROUP, "left"), "marked")
+    # Groups larger than a shard are fewer than the shards.
+    most = int(quota.max())
+    large = groups.filter(F.col("members") > most).orderBy(F.desc("members"), *GROUP).collect()
+    pieces = [piece for own in filled([g["members"] for g in large], quota) for piece in own]
+    room = quota.copy()
+    for shard, size in pieces:
+        room[shard] -= size
+    starts = np.cumsum([0] + [g["members"] for g in large]).tolist()
+    first = rows.sparkSession.createDataFrame([(g["ga"], g["gb"], at) for g, at in zip(large, starts)], "ga bigint, gb bigint, first bigint")
+    hot = marked.filter(F.col("members") > most).drop("members").join(F.broadcast(first), GROUP)
+    hot = numbered(hot, "at", "first", n).withColumn("at", F.col("at") + F.col("first")).drop("first")
+    shard_of = F.array(*[F.lit(shard) for shard, _ in pieces]).cast("array<int>")
+    hot = hot.withColumn("shard", F.get(shard_of, passed(np.array([size for _, size in pieces], np.int64), "at"))).drop("at")
+    linked = numbered(marked.filter(F.col("members") <= most).drop("members"), "at", None, n)
+    dealt = even(groups.filter(F.col("members") <= most).agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0], room)
+    linked = stage(linked.withColumn("shard", passed(dealt, "at")).drop("at"), "labels")
+    linked = propagate(linked, room, rounds)
     load = {r["shard"]: r["n"] for r in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ends = np.cumsum([int(quota[s]) - load.get(s, 0) for s in range(shards)]).tolist()
-    rest = numbered(marked.filter("linked IS NULL").drop("linked"), "at", None, n)
-    passed = F.filter(F.array(*map(F.lit, ends)), lambda end: end <= F.col("at"))
-    rest = rest.withColumn("shard", F.size(passed)).drop("at")
+    rest = numbered(marked.filter("members IS NULL").drop("members"), "at", None, n)
+    left = np.array([int(room[s]) - load.get(s, 0) for s in range(shards)], np.int64)
+    rest = rest.withColumn("shard", passed(left, "at")).drop("at")
+    linked = linked.unionByName(hot.select(*linked.columns))
     return numbered(stage(linked.unionByName(rest), "placed"), "slot", "shard", n).select(*columns)

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from ledgerlens.llm.sharding import admitted, shards_of
+from ledgerlens.llm.sharding import admitted, even, filled, shards_of
 
 SCHEMA = "doc_id bigint, text string, shard string, size string, n int"
 
@@ -58,3 +58,36 @@ def test_few_rows(spark, given):
     found = shards_of(spark.createDataFrame(given, SCHEMA), shards=8).collect()
     count = Counter(r["shard"] for r in found)
     assert len(found) == len(given) and (not given or max(count.values()) - min([count.get(s, 0) for s in range(8)]) <= 1)
+
+
+def test_a_hot_group_spans_no_more_shards_than_it_must(spark):
+    """Two groups larger than a shard, beside small groups and single rows."""
+    sizes = {"hot": 400, "warm": 130, "even": 55}
+    given = [t for t, n in sizes.items() for _ in range(n)] + [f"pair {i // 2}" for i in range(200)] + [f"single {i}" for i in range(415)]
+    random.Random(1).shuffle(given)
+    rows = [(None if t == "hot" and i % 3 == 0 else i, t, "x", "y", 1) for i, t in enumerate(given)]
+    found = shards_of(spark.createDataFrame(rows, SCHEMA), shards=40).collect()
+    count = Counter(r["shard"] for r in found)
+    assert len(found) == 1200 and set(count.values()) == {30}
+    for text, n in sizes.items():
+        spanned = {r["shard"] for r in found if r["text_crc32"] == zlib.crc32(text.encode())}
+        assert len(spanned) == -(-n // 30)
+
+
+def test_filled_and_even_keep_within_the_room():
+    rng = random.Random(3)
+    for _ in range(200):
+        n, shards = rng.randrange(1, 400), rng.randrange(1, 12)
+        quota = np.array([n // shards + (s < n % shards) for s in range(shards)])
+        sizes, rest = [], n
+        while rest > quota.max():
+            sizes.append(rng.randrange(quota.max() + 1, rest + 1))
+            rest -= sizes[-1]
+        room = quota.copy()
+        for own, size in zip(filled(sizes, quota), sizes):
+            assert sum(k for _, k in own) == size and all(k > 0 for _, k in own)
+            for s, k in own:
+                room[s] -= k
+        assert (room >= 0).all() and room.sum() == rest
+        dealt = even(rest, room)
+        assert dealt.sum() == rest and (dealt <= room).all() and (dealt >= 0).all()
