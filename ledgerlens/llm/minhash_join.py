@@ -12,7 +12,7 @@ into blocks of bounded size, block pairs are compared in tasks, first by signatu
 that are connected already are passed over. A task returns at most one link for each of its documents.
 
 Cases: blanks alone, empty and null texts have an empty set and are linked with nothing. With fewer words than a shingle
-the whole sequence is the only element. Rows that repeat a doc_id get equal rows. A row with a null doc_id is linked with
+the whole sequence is the only element. Rows that repeat a doc_id are linked by their own text, and equal ones get equal rows. A row with a null doc_id is linked with
 nothing and stays. An empty table gives no rows. Further columns are not read, whatever their names.
 """
 
@@ -210,12 +210,23 @@ def compared(pairs: DataFrame, symbols: int, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, symbols: int = SYMBOLS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: documents with 100 * intersection >= percent * union are linked."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows_of_components(docs, words, percent, symbols).drop("text_sha256")
+
+
+def text_digest():
+    return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+
+
+def rows_of_components(docs: DataFrame, words: int, percent: int, symbols: int) -> DataFrame:
+    """As ``near_duplicates``, with text_sha256, which tells rows of one doc_id apart."""
+    text = F.col("text").cast("string").alias("text")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_digest().alias("text_sha256"), text)
     signed = stage(sets(docs, words, symbols, whole=False), "signed")
     classes = signed.filter("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key").agg(
-        F.min("doc_id").alias("class_id"), F.min("signature").alias("signature"), F.min("n_shingles").alias("n_shingles")
+        F.min(F.struct("doc_id", "text_sha256")).alias("first"), F.min("signature").alias("signature"), F.min("n_shingles").alias("n_shingles")
     )
-    classes = stage(classes, "classes")
+    # One doc_id may be the smallest of several sets, so classes have numbers of their own, fixed by the written table.
+    classes = stage(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
     index = entries(classes, symbols, percent)
     shared = index.groupBy("entry").agg(F.min("class_id").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stage(shared.select("entry", "centre"), "shared-entries")  # a plain table: Spark can split a hot entry in the join
@@ -223,11 +234,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, symbols:
     part = components(ties)
     links = linked(docs, classes, part, words, percent, symbols)
     joined = components(links)
-    smallest = joined.groupBy("root").agg(F.min("node").alias("component_id"))
+    first = classes.select(F.col("class_id").alias("node"), F.col("first.doc_id").alias("first_id"))
+    smallest = joined.join(first, "node").groupBy("root").agg(F.min("first_id").alias("component_id"))
     component = joined.join(smallest, "root").select(F.col("node").alias("class_id"), "component_id")
-    named = signed.join(classes.select("set_key", "class_id"), "set_key", "left").join(component, "class_id", "left")
-    found = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "class_id", "doc_id"))
-    return named.select("doc_id", "n_shingles", found.alias("component_id"), found.eqNullSafe(F.col("doc_id")).alias("kept"))
+    named = signed.join(classes.select("set_key", "class_id", F.col("first.doc_id").alias("first_id")), "set_key", "left").join(component, "class_id", "left")
+    found = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "first_id", "doc_id"))
+    return named.select("doc_id", "text_sha256", "n_shingles", found.alias("component_id"), found.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def linked(docs: DataFrame, classes: DataFrame, part: DataFrame, words: int, percent: int, symbols: int) -> DataFrame:
@@ -235,9 +247,10 @@ def linked(docs: DataFrame, classes: DataFrame, part: DataFrame, words: int, per
     size = part.join(classes, part["node"] == classes["class_id"]).groupBy("root").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     )
-    members = part.join(size, "root").join(classes.select(F.col("class_id").alias("node"), "set_key"), "node")
+    members = part.join(size, "root").join(classes.select(F.col("class_id").alias("node"), "set_key", "first"), "node")
     members = members.withColumnsRenamed({"node": "class_id", "set_key": "class_key"})
-    chosen = docs.join(members, docs["doc_id"] == members["class_id"]).select("class_id", "root", "blocks", "class_key", "text")
+    own = (docs["doc_id"] == members["first.doc_id"]) & (docs["text_sha256"] == members["first.text_sha256"])
+    chosen = docs.join(members, own).select("class_id", "root", "blocks", "class_key", "text")
     whole = sets(chosen, words, symbols, whole=True).filter("set_key = class_key").dropDuplicates(["class_id"])
     block = F.pmod(F.xxhash64("class_id"), F.col("blocks")).cast("int")
     spread = whole.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -252,5 +265,8 @@ def linked(docs: DataFrame, classes: DataFrame, part: DataFrame, words: int, per
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Whole rows of ``docs``, of each group of near duplicates the document with the smallest id."""
-    dropped = near_duplicates(docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(dropped, docs["doc_id"].cast("bigint") == dropped["_id"], "left_anti")
+    found = rows_of_components(docs, words, percent, SYMBOLS).filter("NOT kept")
+    dropped = found.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    marked = docs.withColumn("_text_sha256", text_digest())
+    same = (marked["doc_id"].cast("bigint") == dropped["_id"]) & (marked["_text_sha256"] == dropped["_sha"])
+    return marked.join(dropped, same, "left_anti").drop("_text_sha256")

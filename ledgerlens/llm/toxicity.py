@@ -128,16 +128,18 @@ def single(labelled: DataFrame) -> DataFrame:
 
 
 def votes_and_terms(docs: DataFrame, terms: Terms) -> DataFrame:
-    """doc_id, ``votes`` (a bit for each voter that fires), ``found`` (numbers of the terms that stand in the text)."""
+    """The columns of ``docs`` but the text, ``votes`` (a bit for each voter that fires), ``found`` (numbers of the terms that
+    stand in the text)."""
     names, lists = terms.names, terms.lists
-    schema = docs.select("doc_id").schema.add("votes", IntegerType()).add("found", ArrayType(IntegerType()))
+    kept = [c for c in docs.columns if c != "text"]
+    schema = docs.select(*kept).schema.add("votes", IntegerType()).add("found", ArrayType(IntegerType()))
 
     def look(batches):
         number = {t: i for i, t in enumerate(names)}
         known: dict[str, tuple[int, ...]] = {}
         for batch in batches:
             votes, found = [], []
-            for value in batch.column(1):
+            for value in batch.column(len(kept)):
                 text = (value.as_py() or "").lower()
                 words, hits = set(WORD.findall(text)), set()
                 for w in words:
@@ -157,9 +159,10 @@ def votes_and_terms(docs: DataFrame, terms: Terms) -> DataFrame:
                         bits |= 1 << (FIXED_VOTERS + lists[h])
                 votes.append(bits)
                 found.append(sorted(hits))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(votes, pa.int32()), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "votes", "found"])
+            own = [batch.column(i) for i in range(len(kept))]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(votes, pa.int32()), pa.array(found, pa.list_(pa.int32()))], [*kept, "votes", "found"])
 
-    return docs.select("doc_id", "text").mapInArrow(look, schema)
+    return docs.select(*kept, "text").mapInArrow(look, schema)
 
 
 class LabelModel:
@@ -250,9 +253,9 @@ def classifier(rows: DataFrame, size: int):
     return fit.fit(stage(both, "posterior"))
 
 
-def score(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample_rows: int = SAMPLE_ROWS, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """doc_id, held_out, score, predicted, posterior (what the voters alone say) for every row of ``docs``."""
-    docs = docs.select("doc_id", "text")
+def score(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample_rows: int = SAMPLE_ROWS, fit_rows: int = FIT_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns ``keep``, held_out, score, predicted, posterior (what the voters alone say) for every row of ``docs``."""
+    docs = docs.select("doc_id", *keep, "text")
     known = labels.filter(F.col("toxic").isin(0, 1) & training_rows(folds)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     # At most twice sample_rows ids: the parameter bounds what is broadcast.
@@ -276,23 +279,28 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample_rows: i
 
 def scored(marked: DataFrame, posterior: np.ndarray, weights: np.ndarray, intercept: float, folds: int) -> DataFrame:
     """Scores of all rows from the weights of their terms; 2^voters and one number for each term go to the tasks."""
+    own = [c for c in marked.columns if c not in ("votes", "found")]
 
     def weigh(batches):
         for batch in batches:
-            found = batch.column(2).cast(pa.list_(pa.int32()))
+            found = batch.column(len(own) + 1).cast(pa.list_(pa.int32()))
             ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
             sums = np.concatenate([[0.0], np.cumsum(weights[found.flatten().to_numpy(zero_copy_only=False).astype(np.int64)])])
             margin = np.clip(intercept + sums[ends[1:]] - sums[ends[:-1]], -40, 40)
-            p = posterior[batch.column(1).to_numpy()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-margin))), pa.array(p)], ["doc_id", "score", "posterior"])
+            p = posterior[batch.column(len(own)).to_numpy()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(own))), pa.array(1 / (1 + np.exp(-margin))), pa.array(p)], [*own, "score", "posterior"])
 
-    schema = marked.select("doc_id").schema.add("score", DoubleType()).add("posterior", DoubleType())
-    out = marked.select("doc_id", "votes", "found").mapInArrow(weigh, schema)
+    schema = marked.select(*own).schema.add("score", DoubleType()).add("posterior", DoubleType())
+    out = marked.select(*own, "votes", "found").mapInArrow(weigh, schema)
     held = F.coalesce(~training_rows(folds), F.lit(False))
-    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "posterior")
+    return out.select(*own, held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "posterior")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Whole rows of ``docs`` that are not predicted to be toxic."""
-    rejected = score(docs, labels).filter("predicted = 1").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["_id"]), "left_anti")
+    """Whole rows of ``docs`` that are not predicted to be toxic; rows are told apart by doc_id and text."""
+    digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
+    rejected = score(docs.select("doc_id", "text", digest.alias("_sha")), labels, keep=("_sha",)).filter("predicted = 1")
+    rejected = rejected.select(F.col("doc_id").alias("_id"), "_sha").distinct()
+    marked = docs.withColumn("_text_sha256", digest)
+    same = marked["doc_id"].eqNullSafe(rejected["_id"]) & (marked["_text_sha256"] == rejected["_sha"])
+    return marked.join(rejected, same, "left_anti").drop("_text_sha256")

@@ -81,3 +81,13 @@ def test_all_pairs_within_the_distance_share_an_entry(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert M.near_duplicates(empty).count() == 0 and M.keep_one(empty).columns == empty.columns
+
+
+def test_rows_of_one_id_are_told_apart_by_their_text(spark):
+    rng = random.Random(4)
+    a, b, c = (" ".join(f"w{rng.randrange(1000)}" for _ in range(60)) for _ in range(3))
+    rows = [(5, a, "", 0), (5, b, "", 0), (5, c, "", 0), (3, a + " end", "", 0), (8, b + " end", "", 0), (9, c + " end", "", 0), (None, a, "", 0), (None, b, "", 0)]
+    found = M.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((tuple(r) for r in found), key=repr) == brute(rows, 5, 80)
+    kept = {(r["doc_id"], r["text"]) for r in M.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert kept == {(5, b), (5, c), (3, a + " end"), (None, a), (None, b)}

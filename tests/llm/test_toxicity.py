@@ -82,3 +82,17 @@ def test_without_labels_or_rows(spark):
     assert T.score(docs, none).count() == 2
     empty = spark.createDataFrame([], DOCS)
     assert T.score(empty, none).count() == 0 and T.keep_clean(empty, none).columns == empty.columns
+
+
+def test_only_the_toxic_rows_of_an_id_are_dropped(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ledgerlens.llm import toxicity
+
+    def judged(docs, labels, keep=()):
+        return docs.select("doc_id", *keep, F.col("text").contains("vile").cast("int").alias("predicted"))
+
+    monkeypatch.setattr(toxicity, "score", judged)
+    rows = [(None, "vile one"), (None, "fine"), (None, None), (7, "vile"), (7, "good"), (7, "good"), (8, "vile")]
+    kept = toxicity.keep_clean(spark.createDataFrame(rows, "doc_id bigint, text string"), None)
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == sorted([r for r in rows if "vile" not in (r[1] or "")], key=repr)
