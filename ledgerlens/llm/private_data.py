@@ -1,7 +1,7 @@
 """Personal data by bootstrapped contextual extraction (operator 7, DataFrame functions only).
 
 Four base patterns find mail addresses, IP addresses, card and phone numbers in whole texts. They are the seeds: the two
-words before a seed are a lexical pattern, and every other identifier-like token (with a digit or ``@``) that stands behind
+words before a seed, wherever the match before it ends, are a lexical pattern, and every other identifier-like token (with a digit or ``@``) that stands behind
 the same words is an instance of that pattern. Over the graph of patterns and instances Spark iterates two scores: a
 pattern is as good as the instances that it holds, an instance as good as its best pattern, and a seed is always good.
 Patterns that end with a high score and several different seeds discover the remaining instances as spans of kind ``id``.
@@ -32,7 +32,7 @@ CANDIDATE = rf"(?<![^{BLANK}])[^{BLANK}0-9@]*+[0-9@][^{BLANK}]*+"
 PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)"
 OPEN, CLOSE, OTHER = "", "", ""  # private-use characters that mark matches
 ROUNDS, LEAST_SCORE, LEAST_SEEDS = 3, 0.7, 3
-GROUP = 500
+GROUP, LONG = 500, 200
 
 
 def running(values: Column) -> Column:
@@ -55,8 +55,38 @@ def sums_before(values: Column) -> Column:
     return let(values, by_groups)
 
 
+def last_words(text: Column) -> Column:
+    """The last three words of the text with the blanks behind them, one for each run."""
+    words = F.regexp_extract(text, rf"(?<![^{BLANK}])(?:[^{BLANK}]++[{BLANK}]++){{0,2}}[^{BLANK}]++[{BLANK}]*+$", 0)
+    return F.regexp_replace(words, rf"[{BLANK}]+", " ")
+
+
+def words_before(pieces: Column) -> Column:
+    """For each of ``pieces``, which make up a text, the last words of the text to its end.
+
+    Only the last words are carried from piece to piece, by groups as in ``sums_before``.
+    """
+
+    def carried(values: Column, first: Column) -> Column:
+        start = F.struct(first.alias("last"), F.array().cast("array<string>").alias("out"))
+
+        def step(s, v):
+            return let(last_words(F.concat(s["last"], v)), lambda last: F.struct(last.alias("last"), F.concat(s["out"], F.array(last)).alias("out")))
+
+        return F.aggregate(values, start, step, lambda s: s["out"])
+
+    def by_groups(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(v) / GROUP).cast("int") - 1))
+        groups = F.transform(numbers, lambda j: F.slice(v, j * GROUP + 1, F.lit(GROUP)))
+        ends = carried(F.transform(groups, lambda g: F.array_join(g, "")), F.lit(""))
+        start = lambda ends, j: F.when(j > 0, F.get(ends, j - 1)).otherwise("")
+        return let(ends, lambda e: F.flatten(F.transform(groups, lambda g, j: carried(g, start(e, j)))))
+
+    return let(pieces, by_groups)
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """Array of (before, value, start, end) of the matches: the text in front back to the last match, and code points.
+    """Array of (before, value, start, end) of the matches: the last words of the whole text in front, and code points.
 
     ``text`` must not hold the two marks.
     """
@@ -65,14 +95,16 @@ def matches(text: Column, pattern: str) -> Column:
     def spans(parts: Column) -> Column:
         at = sums_before(F.transform(parts, lambda p: F.length(p)))
         # Parts alternate: text, match, text, ...
-        found = lambda starts: F.transform(
+        numbers = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.size(parts) / 2).cast("int") - 1))
+        fronts = F.transform(numbers, lambda k: F.concat(F.when(k > 0, F.get(parts, 2 * k - 1)).otherwise(""), F.get(parts, 2 * k)))
+        found = lambda starts, before: F.transform(
             F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(parts) - 1)), lambda i: (i % 2 == 1) & (i < F.size(parts))),
             lambda i: F.struct(
-                F.get(parts, i - 1).alias("before"), F.get(parts, i).alias("value"),
+                F.get(before, F.floor(i / 2).cast("int")).alias("before"), F.get(parts, i).alias("value"),
                 F.get(starts, i).alias("start"), (F.get(starts, i) + F.length(F.get(parts, i))).alias("end"),
             ),
         )
-        return let(at, found)
+        return let(at, lambda starts: let(words_before(fronts), lambda before: found(starts, before)))
 
     return F.when(F.contains(marked, F.lit(OPEN)), let(F.split(marked, f"[{OPEN}{CLOSE}]"), spans)).otherwise(spans_none())
 
@@ -106,10 +138,14 @@ CHECKS = [
 
 
 def lexical_pattern(before: Column) -> Column:
-    """The last two words in front, in lower case, with one 9 for each run of digits; null without a word."""
-    words = F.regexp_extract(F.right(before, F.lit(80)), rf"((?:[^{BLANK}]+[{BLANK}]+)?[^{BLANK}]+)[{BLANK}]*$", 1)
-    plain = F.regexp_replace(F.regexp_replace(F.lower(words), rf"[{BLANK}]+", " "), "[0-9]+", "9")
-    return F.when(plain != "", plain)
+    """The last two words in front, in lower case, with one 9 for each run of digits; null without a word.
+
+    Brackets and quotes that open at the match are none, as ``trimmed`` takes them off candidates. Long words are digested.
+    """
+    open_ = F.regexp_replace(before, r"(?<![^\x20])[\"'(\[{<]++$", "")
+    words = F.regexp_extract(open_, r"(?<![^\x20])((?:[^\x20]++\x20)?[^\x20]++)\x20?$", 1)
+    plain = F.regexp_replace(F.lower(words), "[0-9]+", "9")
+    return F.when(F.length(plain) > LONG, F.sha2(plain.cast("binary"), 256)).when(plain != "", plain)
 
 
 def base_spans(text: Column, number: int, pattern: str, valid) -> Column:

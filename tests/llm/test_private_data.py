@@ -75,3 +75,36 @@ def test_patterns_of_seeds_discover_identifiers(spark, others):
 
 def test_empty_table(spark):
     assert personal_data(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "front,quote",
+    [("no 4471 mail: ", ""), ("4471 " + " " * 200 + "mail: ", ""), ("x" * 100 + "7 mail: ", ""), ("y" * 300 + " mail: ", ""), ("1.1.1.1 2.2.2.2 to: ", "(")],
+)
+def test_context_is_the_same_for_seeds_and_candidates(spark, front, quote):
+    """A number, many blanks or a long word stand in front of the last word."""
+    rows = [(i, f"text {i} {front}{quote}joe{i}@mail{i}.example.com now", "", "", 0) for i in range(12)]
+    rows += [(50, f"text 9 {front}{quote}user#77 now", "", "", 0), (51, f"text 9 other{front}user#78", "", "", 0)]
+    rows += [(52, f"text 9 {front.replace('mail', 'post').replace('to', 'at')}user#79", "", "", 0)]
+    found = {r["doc_id"]: r for r in personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
+    start = len(f"text 9 {front}{quote}")
+    assert f"id:{start}:{start + 7}" in found[50]["spans"].split(",")
+    assert "id" not in found[52]["spans"]
+
+
+def test_words_before_follow_the_text(spark):
+    """Across more pieces than a group holds, the last words are those of the whole text."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from ledgerlens.llm.private_data import words_before
+
+    rng = random.Random(8)
+    lists = [["".join(rng.choices("ab1 \n", weights=[4, 4, 2, 2, 1], k=rng.randrange(0, 9))) for _ in range(n)] for n in (1, 3, 499, 1203)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(lists)], "i int, p array<string>")
+    for row in df.select("i", words_before(F.col("p")).alias("w")).collect():
+        text = ""
+        for piece, got in zip(lists[row["i"]], row["w"], strict=True):
+            text += piece
+            assert got.split() == text.split()[-3:] and (got[-1:] == " ") == (text[-1:].isspace() and bool(text.split()))
