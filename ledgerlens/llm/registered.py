@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, minhash_join, mixing, packing, private_data, sharding, substring_dedup, topk_search, toxicity, url_filter
+from ledgerlens.llm import exact_dedup, minhash_join, mixing, packing, positional_index, private_data, sharding, substring_dedup, topk_search
+from ledgerlens.llm import toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -112,3 +113,35 @@ def op7_private_data(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.removed(table(spark, folder, "documents")).drop("spans")
+
+
+@query
+def op13_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return positional_index.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+# Words of a text: runs of digits, letters and characters beyond ASCII, with A to Z lowered.
+WORDS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w"
+)
+
+SQL["op13_benchmark_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} FROM documents),
+i AS (SELECT item_id, {WORDS_SQL} FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, l, array_to_string(w[p : p + l - 1], ' ') AS gram
+  FROM (SELECT item_id, w, least(10, len(w)) AS l, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)
+), places AS (
+  SELECT r, p, l, array_to_string(w[p : p + l - 1], ' ') AS gram
+  FROM (SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS p FROM d, (SELECT DISTINCT l FROM windows))
+), hits AS (SELECT r, p, l, item_id FROM places JOIN windows USING (l, gram)),
+hit_words AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(p, p + l)) AS q FROM hits) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(hit_words.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, hit_words.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit_words USING (r) LEFT JOIN named USING (r)
+"""
