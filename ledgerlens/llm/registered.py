@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, minhash_join, mixing, packing, positional_index, private_data, sharding, substring_dedup, topk_search
-from ledgerlens.llm import toxicity, url_filter
+from ledgerlens.llm import exact_dedup, fp_search, minhash_join, mixing, packing, positional_index, private_data, sharding
+from ledgerlens.llm import substring_dedup, topk_search, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -145,3 +145,25 @@ SELECT doc_id, len(w) AS n_words, coalesce(hit_words.n, 0) AS n_hit, coalesce(na
   sha256(coalesce(ids, '')) AS items_sha256, hit_words.n IS NOT NULL AS contaminated
 FROM d LEFT JOIN hit_words USING (r) LEFT JOIN named USING (r)
 """
+
+
+@query
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return fp_search.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+SQL["op11_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} FROM documents),
+i AS (SELECT DISTINCT item_id, unnest(w) AS t FROM (SELECT item_id, {WORDS_SQL} FROM benchmark)),
+tfs AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t),
+size AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tfs, size GROUP BY t, n),
+ms AS (SELECT r, doc_id, 100 - 50 + (50 * len(w) * n) // l AS m FROM d, size WHERE len(w) > 0),
+scored AS (
+  SELECT item_id, r, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM i JOIN tfs USING (t) JOIN weights USING (t) JOIN ms USING (r) GROUP BY item_id, r, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
