@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import exact_dedup, fp_search, minhash_join, mixing, packing, positional_index, private_data, sharding
-from ledgerlens.llm import substring_dedup, topk_search, toxicity, url_filter
+from ledgerlens.llm import exact_dedup, fp_search, minhash_join, mixing, packing, positional_index, prefix_trie, private_data
+from ledgerlens.llm import sharding, substring_dedup, topk_search, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -167,3 +167,37 @@ scored AS (
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+# CRC-32 of the decimal id, bit by bit.
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), x -> ascii(x)::BIGINT)),
+  (c, b) -> list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), (x, i) -> xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+SQL["op12_prefix_trie"] = f"""
+WITH filled AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+keyed AS (SELECT conv_id, turn, length(role) || ':' || role || text AS k, length(text) AS size FROM filled),
+lists AS (
+  SELECT conv_id, list(k ORDER BY turn NULLS FIRST, sha256(k)) AS ks, list(size ORDER BY turn NULLS FIRST, sha256(k)) AS ns FROM keyed GROUP BY conv_id
+), hashed AS (SELECT *, {CRC_SQL} % 6 AS h FROM lists),
+made AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ks[1:h], []), c.ks[h + 1:]) AS ks, list_concat(coalesce(b.ns[1:h], []), c.ns[h + 1:]) AS ns
+  FROM hashed c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, d, ks[1:d] AS k, len(ks) = d AS last, coalesce(ns[d], 0) AS size FROM (SELECT *, unnest(range(0, len(ks) + 1)) AS d FROM made)
+), nodes AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '') AS ends FROM prefixes GROUP BY k, d
+), children AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1),
+valued AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (k)),
+totals AS (
+  SELECT k[1:j] AS k, sum(saved) AS saved, count(*) FILTER (n_children = 0) AS leaves FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM valued) GROUP BY 1
+)
+SELECT v.conv_id, v.d AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, leaves AS n_leaves,
+  CAST(totals.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM valued v JOIN totals USING (k) LEFT JOIN nodes p ON v.d > 0 AND p.k = v.k[1:v.d - 1]
+"""
