@@ -175,8 +175,8 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # CRC-32 of the decimal id, bit by bit.
-CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), x -> ascii(x)::BIGINT)),
-  (c, b) -> list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), (x, i) -> xor(x >> 1, 3988292384 * (x & 1)))))"""
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
 
 SQL["op12_prefix_trie"] = f"""
 WITH filled AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
