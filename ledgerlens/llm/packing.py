@@ -13,9 +13,7 @@ gives no rows. Columns other than the id and the text are not read, whatever the
 
 from __future__ import annotations
 
-import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ledgerlens.llm.arrays import text_blocks
+from ledgerlens.llm.words import ascii_lower, cut_words, word_bytes
 from ledgerlens.session import stage
 
 CAPACITY = 4096
@@ -32,17 +32,27 @@ PART_ROWS = 8000
 # No piece is compared with more than the open sequences of this many pieces, whatever the part holds.
 MOST_AT_ONCE = 32_000
 # White space never lies within a token, so blank-separated words are encoded by themselves and remembered.
-WORD = re.compile(r"[^ \t\n\r\f\v]+")
-# Closing marks behind a letter or digit are a unit of their own; a blank in front changes nothing.
-CLOSING = re.compile(r"(?<=[^\W_])([.,;:!?]+)(?![^ \t\n\r\f\v])")
-CHUNK_CHARACTERS, REMEMBERED_WORDS, REMEMBERED_CHARACTERS = 1_000_000, 600_000, 20_000_000
+SPACE = b" \t\n\r\f\v"
+# A run of marks (ASCII, neither letter nor digit) that ends a word is a unit of its own behind a letter or digit, so a cut in
+# front of it changes nothing. Beyond ASCII the letters from U+00C0 to U+00FF are known, all but the two signs among them.
+LATIN_LEAD, LATIN_SIGNS = 0xC3, (0x97, 0xB7)
+BLOCK_BYTES, REMEMBERED_WORDS, REMEMBERED_BYTES = 4_000_000, 600_000, 20_000_000
+
+
+def byte_strings(column: pa.Array) -> list[bytes]:
+    """The values of a large binary column without nulls."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1].tolist()
+    whole = data.to_pybytes() if data is not None else b""
+    return [whole[a:b] for a, b in zip(at, at[1:])]
 
 
 class WordIds:
-    """Ids of texts as little-endian 32-bit numbers, through a bounded memory of words.
+    """Ids of texts, through a bounded memory of words whose ids lie in one array.
 
-    The tokenizer lowers letters, which is done for A to Z beforehand. New words are encoded together: a word of letters is
-    one unit of the tokenizer, whose last token alone ends in the mark of a word's end, so the ids of many can be told apart.
+    The tokenizer lowers letters, which is done for A to Z beforehand. The words of a block of texts are cut and told apart as
+    Arrow columns, and the ids of all its texts are gathered at once. New words are encoded together: a word of letters is one
+    unit of the tokenizer, whose last token alone ends in the mark of a word's end, so the ids of many can be told apart.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -51,55 +61,93 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.size = 0
+        self.space, self.plain = np.zeros(256, bool), word_bytes()
+        self.space[list(SPACE)] = True
+        self.latin = np.zeros(256, bool)
+        self.latin[128:192] = True
+        self.latin[list(LATIN_SIGNS)] = False
+        self.mark = np.zeros(256, bool)
+        self.mark[33:127] = ~self.plain[33:127]
+        self.plain[128:] = False
+        self.lower = ascii_lower()
+        self.forget()
+
+    def forget(self) -> None:
+        self.words: dict[bytes, int] = {}
+        self.size, self.ids_of, self.used = 0, np.zeros(1 << 16, np.uint32), 0
+        self.at = np.zeros(1 << 14, np.int64)  # where the ids of each word begin and those of the last end
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def learn(self, new: set[str]) -> None:
-        plain = [w for w in new if w.isalpha()]
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def remember(self, words: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Add words, given all their ids behind one another and where those of each end."""
+        n, more = len(self.words), len(words)
+        while len(self.ids_of) < self.used + len(ids):
+            self.ids_of = np.concatenate([self.ids_of, np.zeros_like(self.ids_of)])
+        while len(self.at) < n + more + 1:
+            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+        self.ids_of[self.used : self.used + len(ids)] = ids
+        self.at[n + 1 : n + more + 1] = self.used + ends
+        self.words.update(zip(words, range(n, n + more)))
+        self.used += len(ids)
+        self.size += sum(map(len, words))
+
+    def learn(self, new: list[bytes]) -> None:
+        texts = [w.decode() for w in new]
+        plain = [i for i, t in enumerate(texts) if t.isalpha()]
+        rest = [i for i, t in enumerate(texts) if not t.isalpha()]
         for at in range(0, len(plain), 500):
             part = plain[at : at + 500]
-            ids = self.ids(" ".join(part))
+            ids = self.ids(" ".join([texts[i] for i in part]))
             last = np.flatnonzero(self.ends[ids])
             if len(last) == len(part):
-                raw, ends = ids.tobytes(), (4 * (last + 1)).tolist()
-                self.words.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+                self.remember([new[i] for i in part], ids, last + 1)
             else:  # a letter that normalises to more than letters
-                self.words.update((w, self.ids(w).tobytes()) for w in part)
-        for word in new.difference(plain):
-            self.words[word] = self.ids(word).tobytes()
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for text in texts:
-            if "<|" not in text:  # special tokens are told from plain text by their case
-                text = text.encode().lower().decode()
-            text = CLOSING.sub(r" \1", text)
-            # str.split() knows four separators that are no white space to the tokenizer.
-            split.append(WORD.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split())
-        new = set(chain.from_iterable(split)).difference(self.words)
-        self.learn(new)
-        known = self.words.__getitem__
-        out = [b"".join(map(known, words)) for words in split]
-        self.size += sum(map(len, new))
-        if len(self.words) > REMEMBERED_WORDS or self.size > REMEMBERED_CHARACTERS:
-            self.words, self.size = {}, 0
-        return out
-
-
-def chunks_of(column: pa.Array):
-    """Lists of texts with about CHUNK_CHARACTERS together."""
-    held, size = [], 0
-    for value in column:
-        held.append(value.as_py() or "")
-        size += len(held[-1])
-        if size >= CHUNK_CHARACTERS:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+                rest += part
+        if rest:
+            ids = [self.ids(texts[i]) for i in rest]
+            self.remember([new[i] for i in rest], np.concatenate(ids), np.cumsum([len(x) for x in ids]))
+
+    def closing(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where marks that close a word begin."""
+        mark = self.mark[raw]
+        first, last = mark.copy(), mark.copy()
+        first[1:] &= ~mark[:-1]
+        last[:-1] &= ~mark[1:]
+        inner = at[(at > 0) & (at < len(raw))]
+        first[inner], last[inner - 1] = mark[inner], mark[inner - 1]
+        start, end = np.flatnonzero(first), np.flatnonzero(last)
+        edge = np.zeros(len(raw) + 1, bool)
+        edge[at] = True
+        latin = self.latin[raw[start - 1]] & (raw[start - 2] == LATIN_LEAD)
+        behind = (self.plain[raw[start - 1]] | latin) & ~edge[start]
+        before = edge[end + 1] | self.space[raw[np.minimum(end + 1, len(raw) - 1)]]
+        begins = np.zeros(len(raw), bool)
+        begins[start[behind & before]] = True
+        return begins
+
+    def of(self, column: pa.Array):
+        """The ids of each text of a column, in order."""
+        for first, last, raw, at in text_blocks(column, BLOCK_BYTES):
+            # Special tokens are told from plain text by their case, so a text that may hold one is encoded as it is.
+            opened = np.flatnonzero((raw[:-1] == 60) & (raw[1:] == 124))
+            special = set((np.searchsorted(at, opened, "right") - 1).tolist())
+            words, begins = cut_words(raw, at, ~self.space[raw], self.closing(raw, at), self.lower)
+            coded = words.dictionary_encode()
+            distinct = byte_strings(coded.dictionary)
+            self.learn([w for w in distinct if w not in self.words])
+            number = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+            start = self.at[number]
+            size = self.at[number + 1] - start
+            ends = np.zeros(len(number) + 1, np.int64)
+            np.cumsum(size, out=ends[1:])
+            ids = self.ids_of[np.repeat(start - ends[:-1], size) + np.arange(ends[-1])]
+            bounds = ends[begins]
+            for row in range(last - first):
+                yield self.ids(column[first + row].as_py()) if row in special else ids[bounds[row] : bounds[row + 1]]
+            if len(self.words) > REMEMBERED_WORDS or self.size > REMEMBERED_BYTES:
+                self.forget()
 
 
 def pieces(
@@ -114,8 +162,8 @@ def pieces(
         words = WordIds(tokenizer_file)
         for batch in batches:
             rows, out = [], []
-            for row, own in enumerate(x for texts in chunks_of(batch.column(1)) for x in words.of(texts)):
-                ids = memoryview(own + end)
+            for row, own in enumerate(words.of(batch.column(1))):
+                ids = memoryview(own.astype("<u4").tobytes() + end)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append(row)

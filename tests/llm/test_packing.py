@@ -12,6 +12,7 @@ SCHEMA = "doc_id bigint, text string, piece string, length int"
 TEXTS = [
     None, "", " \n\t", "Don't STOP, it's 42 naïve cafés and more\x1cthings", "éte ́x", "İstanbul ΣΑΣ ΑΣ", "a<|endoftext|>b <|startoftext|>", "A<|ENDOFTEXT|>. (b)., it's. 3.,; é.! ...",
     "word " * 5000, "x" * 30000, "日本語のテキスト。" * 900, "\U0001f600\U0001f600 !!??", "same", "same",
+    "dogs' it's' 'tis é's é' ×. ÷, ÿ$$$ À-- a_ _ a__b 9'9 9.' x'. ¿qué? naïve.» ».. é<| |", "..", "'s", "don't'", "a.", ".b c", "ſ's ß&&& ñ***", "e\u0301. e\u0301\u0301, a\u200d! \u00a0. a\u00a0, b\u3000;", "=\u0338 a=\u0338 <\u0338",
 ]
 
 
