@@ -287,7 +287,7 @@ class FeatureBundle:
     def from_matrix(self, result: DataFrame) -> DataFrame:
         """The same from a table that holds ``dtm`` and, where it is used, ``statistical`` already: no text is read."""
         if self.lda is not None:
-            result = self.lda.setTopicDistributionCol("topics").transform(result)
+            result = self.lda.set_output("topics").transform(result)
         if self.lsa is not None:
             result = self.lsa.transform(result, "dtm")
             result = result.withColumn("semantic", array_to_vector("semantic"))

@@ -6,7 +6,7 @@ executors need no copy of this package.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,3 +69,52 @@ def sum_rows(df: DataFrame, width: int) -> list:
     """Add up partial sums ``(kind, i, sums)`` of all tasks; the result is bounded by kinds x positions."""
     totals = df.groupBy("kind", "i").agg(*[F.sum(F.col("sums")[j]).alias(f"s{j}") for j in range(width)])
     return totals.collect()
+
+
+def summed_parts(df: DataFrame, run: Callable, part_numbers: int = 100_000) -> dict:
+    """Add up arrays by name over all tasks: ``run`` takes a task's Arrow batches and gives ``(name, array)``.
+
+    Names are small integers, and an array has the size of a model. A task sends its arrays in parts of ``part_numbers``; parts
+    are added one after another in the order of the tasks, so a sum takes the memory of one part, and comes out the same each
+    time. What is fetched is one array for each name.
+    """
+    import numpy as np
+
+    def send(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        for name, array in run(batches):
+            starts = range(0, len(array), part_numbers)
+            columns = [[name] * len(starts), list(starts), [task] * len(starts), [array[s : s + part_numbers].tobytes() for s in starts]]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["name", "start", "task", "sums"])
+
+    def add(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def row(key, total):
+            columns = [[key[0]], [key[1]], [total.tobytes()]]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int64(), pa.binary()])], ["name", "start", "sums"])
+
+        key, total = None, None
+        for batch in batches:
+            for name, start, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)):
+                own = np.frombuffer(sums.as_buffer(), float)
+                if (name, start) == key:
+                    total = total + own
+                else:
+                    if key:
+                        yield row(key, total)
+                    key, total = (name, start), own
+        if key:
+            yield row(key, total)
+
+    parts = df.mapInArrow(send, "name long, start long, task long, sums binary")
+    dealt = parts.repartition("name", "start").sortWithinPartitions("name", "start", "task")
+    found: dict = {}
+    for r in sorted(dealt.mapInArrow(add, "name long, start long, sums binary").collect()):
+        found.setdefault(r["name"], []).append(np.frombuffer(r["sums"], float))
+    return {name: np.concatenate(arrays) for name, arrays in found.items()}

@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.ml.clustering import LDA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import as_column
-from ledgerlens.operators.sparse import cells, sum_rows, task_helpers
+from ledgerlens.operators.lda import LdaTopics, fit_many
+from ledgerlens.operators.sparse import cells, sum_rows, summed_parts, task_helpers
 from ledgerlens.session import small
 
 # Parameters of the LDA model.
 LDA_MAX_ITER = 15
 LDA_FEATURE_ITER = 20
-LDA_LEARNING_DECAY = 0.7
-LDA_LEARNING_OFFSET = 10.0
 TOPIC_WORD_PRIOR = 0.01
 DOC_TOPIC_PRIOR_FACTOR = 50.0
 SEED = 42
+# A fit ends when the evidence bound rises by less than this share of its size.
+LDA_TOLERANCE = 1e-5
 
 # Which topics of a document are reported, and the smoothing term of the coherence.
 MIN_TOPIC_SCORE = 0.01
@@ -34,26 +33,15 @@ def doc_topic_prior(topics: int) -> float:
     return min(1.0, DOC_TOPIC_PRIOR_FACTOR / topics)
 
 
-def fit_lda(vectors: DataFrame, vector: str, topics: int, max_iter: int = LDA_MAX_ITER, seed: int = SEED):
-    """Online variational LDA (I10, I11); the state is topics x vocabulary.
+def fit_lda(vectors: DataFrame, vector: str, topics: int, max_iter: int = LDA_MAX_ITER, seed: int = SEED) -> LdaTopics:
+    """Variational LDA on all documents in every pass (I10, I11); the state is topics x vocabulary."""
+    return fit_lda_grid(vectors, vector, [topics], max_iter, seed)[0]
 
-    Every iteration draws as many documents as there are, whatever their number. Spark draws them with replacement, so an
-    iteration sees about 63 % of them at least once, and 15 iterations miss a document with a chance below one in a million.
-    """
-    lda = LDA(
-        subsamplingRate=1.0,
-        k=topics,
-        maxIter=max_iter,
-        optimizer="online",
-        docConcentration=[doc_topic_prior(topics)] * topics,
-        topicConcentration=TOPIC_WORD_PRIOR,
-        learningDecay=LDA_LEARNING_DECAY,
-        learningOffset=LDA_LEARNING_OFFSET,
-        featuresCol=vector,
-        topicDistributionCol="topic_vector",
-        seed=seed,
-    )
-    return lda.fit(vectors)
+
+def fit_lda_grid(vectors: DataFrame, vector: str, counts: list[int], max_iter: int = LDA_MAX_ITER, seed: int = SEED) -> list[LdaTopics]:
+    """One model for each topic count, all fitted in the same passes over the documents."""
+    priors = [doc_topic_prior(k) for k in counts]
+    return fit_many(vectors, vector, counts, priors, TOPIC_WORD_PRIOR, max_iter, LDA_TOLERANCE, seed)
 
 
 def topic_word_weights(spark: SparkSession, matrix, vocabulary: list[str]) -> DataFrame:
@@ -132,73 +120,77 @@ def label_topics(doc_topics: DataFrame, lists: DataFrame, n: int = 10) -> DataFr
 
 
 def umass_coherence(
-    documents: DataFrame, tokens: Column | str, top: DataFrame, group: str = "topic", topics_per_pass: int = 50
+    documents: DataFrame, tokens: Column | str, top: DataFrame, group: str = "topic", topics_per_pass: int = 2000
 ) -> DataFrame:
     """UMass coherence of every topic (D20): ``(topic, umass)``.
 
     ``top`` holds topics x n ranked words, a table of the size of the model. For a pair (word, earlier word) the value
-    is ``ln((both / N + epsilon) / (earlier / N))``. Topics are counted in passes over the documents of
-    ``topics_per_pass`` topics each, which bounds what a pass looks up and fetches.
+    is ``ln((both / N + epsilon) / (earlier / N))``. ``topics_per_pass`` bounds the counts that a task holds.
     """
-    total = documents.count()
     ranked: dict = {}
     for row in top.orderBy(group, "rank").collect():
         ranked.setdefault(row[group], []).append(row["term"])
-    names = list(ranked)
-    rows = []
+    names, values = list(ranked), []
     for start in range(0, len(names), topics_per_pass):
-        part = {name: ranked[name] for name in names[start : start + topics_per_pass]}
-        rows += _pair_counts(documents, tokens, part)
+        values += coherences(documents, tokens, [ranked[n] for n in names[start : start + topics_per_pass]])
     group_type = top.schema[group].dataType.simpleString()
-    table = documents.sparkSession.createDataFrame(rows, f"{group} {group_type}, both long, earlier long")
-    value = F.when(F.col("earlier") == 0, 0.0).otherwise(
-        F.log((F.col("both") / F.lit(total) + F.lit(COHERENCE_EPSILON)) / (F.col("earlier") / F.lit(total)))
-    )
-    return table.groupBy(group).agg(F.avg(value).alias("umass"))
+    rows = [(name, value) for name, value in zip(names, values) if value is not None]
+    return documents.sparkSession.createDataFrame(rows, f"{group} {group_type}, umass double")
 
 
-def _pair_counts(documents: DataFrame, tokens: Column | str, ranked: dict) -> list[tuple]:
-    """Documents with both words, and with the earlier word, for every pair of words of one topic.
+def coherences(documents: DataFrame, tokens: Column | str, lists: list[list[str]]) -> list[float | None]:
+    """UMass coherence of each ranked word list, None for fewer than two words; one pass over the documents for all lists."""
+    import numpy as np
+
+    counts, total = pair_counts(documents, tokens, lists)
+    found = []
+    for both, words in zip(counts, lists):
+        later, before = np.tril_indices(len(words), -1)
+        alone = both[before, before]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            value = np.log((both[later, before] / total + COHERENCE_EPSILON) / (alone / total))
+        found.append(float(np.where(alone == 0, 0.0, value).mean()) if len(later) else None)
+    return found
 
-    A document is first cut down to the top words it holds, in its own row. Pairs are looked up there and counted with
-    partial sums, so what leaves a task is at most one row per pair of top words of one topic.
+
+def pair_counts(documents: DataFrame, tokens: Column | str, lists: list[list[str]], block: int = 256):
+    """(lists x words x words, documents): in how many documents two words of a list are together, and the number of all.
+
+    A task marks for a block of documents which words of any list they hold, and multiplies the marks of each list with
+    themselves; its sums have the size of the lists.
     """
-    words = sorted({w for terms in ranked.values() for w in terms})
+    import numpy as np
+
+    words = sorted({w for terms in lists for w in terms})
     number = {w: i for i, w in enumerate(words)}
-    pairs = sorted(
-        {
-            (min(number[a], number[b]), max(number[a], number[b]))
-            for terms in ranked.values()
-            for i, a in enumerate(terms)
-            for b in terms[:i]
-        }
-    )
-    partners: dict[int, list[int]] = {}
-    for a, b in pairs:
-        partners.setdefault(a, []).append(b)
-    known = F.array_distinct(F.filter(as_column(tokens), lambda t: t.isin(words)))
-    seen = documents.select(known.alias("w")).where(F.size("w") > 0)
-    listed = json.dumps({words[a]: [words[b] for b in bs] for a, bs in partners.items()}, ensure_ascii=False)
-    partner_map = F.from_json(F.lit(listed), "map<string, array<string>>")
-    found = F.flatten(
-        F.transform(
-            "w",
-            lambda a: F.transform(
-                F.array_intersect(F.coalesce(partner_map[a], F.array().cast("array<string>")), F.col("w")),
-                lambda b: F.struct(a.alias("a"), b.alias("b")),
-            ),
-        )
-    )
-    singles = F.transform("w", lambda a: F.struct(a.alias("a"), a.alias("b")))
-    events = seen.select(F.inline(F.concat(singles, found)))
-    counts = {(r["a"], r["b"]): r["n"] for r in events.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = []
-    for topic, terms in ranked.items():
-        for i, a in enumerate(terms):
-            for b in terms[:i]:
-                low, high = (a, b) if number[a] < number[b] else (b, a)
-                rows.append((topic, counts.get((low, high), 0), counts.get((b, b), 0)))
-    return rows
+    longest = max((len(terms) for terms in lists), default=0)
+    # Unused places point behind the last word, where no document has a mark.
+    places = np.full((len(lists), longest), len(words))
+    for i, terms in enumerate(lists):
+        places[i, : len(terms)] = [number[w] for w in terms]
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        wanted, rows = pa.array(words, pa.string()), 0
+        together = np.zeros((len(places), longest, longest))
+        for batch in batches:
+            rows += batch.num_rows
+            for start in range(0, batch.num_rows, block):
+                part = batch.column(0).slice(start, block)
+                row = pc.list_parent_indices(part).to_numpy()
+                word = pc.index_in(part.flatten(), value_set=wanted).fill_null(-1).to_numpy()
+                mark = np.zeros((len(part), len(words) + 1), np.float32)
+                mark[row[word >= 0], word[word >= 0]] = 1
+                own = mark[:, places].transpose(1, 0, 2)
+                together += own.transpose(0, 2, 1) @ own
+        yield 0, np.r_[together.ravel(), rows]
+
+    sums = summed_parts(documents.select(as_column(tokens).cast("array<string>").alias("t")), run)
+    flat = sums.get(0, np.zeros(len(lists) * longest**2 + 1))
+    return flat[:-1].reshape(len(lists), longest, longest), int(flat[-1])
 
 
 def matrix_terms(vector: str, vocabulary: list[str]) -> Column:
@@ -219,17 +211,21 @@ def tune_topics(
 ) -> DataFrame:
     """Fit one model per topic count and record its mean coherence (I14): ``(topics, mean_umass)``.
 
-    ``documents`` and ``tokens`` give the terms of each document as the vocabulary spells them (``matrix_terms``). The driver
-    loops over the grid, every fit is a job.
+    ``documents`` and ``tokens`` give the terms of each document as the vocabulary spells them (``matrix_terms``). All models are
+    fitted in the same passes, and one more pass counts the word pairs of all their topics.
     """
-    spark = vectors.sparkSession
-    records = []
-    for k in counts:
-        model = fit_lda(vectors, vector, k, max_iter)
-        top = top_words(topic_word_weights(spark, model.topicsMatrix().toArray(), vocabulary), n_words)
-        mean = umass_coherence(documents, tokens, top).agg(F.avg("umass")).first()[0]
-        records.append((k, mean))
-    return spark.createDataFrame(records, "topics int, mean_umass double")
+    import numpy as np
+
+    models = fit_lda_grid(vectors, vector, counts, max_iter)
+    lists, owner = [], []
+    for position, model in enumerate(models):
+        for weights in model.weights:
+            best = np.lexsort((vocabulary, -weights))[:n_words]
+            lists.append([vocabulary[i] for i in best])
+            owner.append(position)
+    values = coherences(documents, tokens, lists)
+    means = [float(np.mean([v for v, o in zip(values, owner) if o == p and v is not None] or [np.nan])) for p in range(len(models))]
+    return vectors.sparkSession.createDataFrame(list(zip(counts, means)), "topics int, mean_umass double")
 
 
 def best_topic_count(records: DataFrame) -> DataFrame:

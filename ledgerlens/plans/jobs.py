@@ -137,7 +137,7 @@ def analysis_job(spark: SparkSession, folder: str, config: JobConfig, version: s
         distribution = topic_model.transform(vectors.select(config.key, "dtm"), "dtm", "topic_weights")
     else:
         topic_model = topics.fit_lda(vectors, "dtm", count)
-        weights = topics.topic_word_weights(spark, topic_model.topicsMatrix().toArray(), counter.vocabulary)
+        weights = topics.topic_word_weights(spark, topic_model.topics_matrix(), counter.vocabulary)
         distribution = topic_model.transform(vectors.select(config.key, "dtm"))
         distribution = distribution.withColumn("topic_weights", vector_to_array("topic_vector"))
     saved.save_topic_model(spark, topic_model, counter.vocabulary, f"{out}/topic_model")

@@ -311,7 +311,7 @@ def lda_topics(spark, folder):
 def lda_topic_words(spark, folder):
     vectors, vectorizer = matrix(spark, folder)
     model = topics.fit_lda(vectors, "vector", TOPICS)
-    weights = topics.topic_word_weights(spark, model.topicsMatrix().toArray(), vectorizer.vocabulary)
+    weights = topics.topic_word_weights(spark, model.topics_matrix(), vectorizer.vocabulary)
     return topics.top_words(weights)
 
 
@@ -402,7 +402,7 @@ def topic_model_reload(spark, folder):
     path = scratch(spark, "topic-model")
     saved.save_topic_model(spark, topics.fit_lda(vectors, "vector", TOPICS), vectorizer.vocabulary, path)
     model, vocabulary = saved.load_topic_model(spark, path)
-    weights = topics.topic_word_weights(spark, model.topicsMatrix().toArray(), vocabulary)
+    weights = topics.topic_word_weights(spark, model.topics_matrix(), vocabulary)
     lists = topics.word_lists(topics.top_words(weights))
     return topics.label_topics(topics.score_documents(model, vectors, "doc_id", "vector"), lists)
 
