@@ -186,9 +186,9 @@ def training_job(table: DataFrame, key: str, returns: str, folder: str, lasso_co
     tables.write_result(trained["classifier"]["results"], f"{folder}/classifier_results", "json")
     trained["lasso"]["model"].write().overwrite().save(f"{folder}/lasso")
     for kind, model in trained["classifier"]["models"].items():
-        model.write().overwrite().save(f"{folder}/classifiers/{kind}")
+        saved.save_classifier(table.sparkSession, model, f"{folder}/classifiers/{kind}")
     best = trained["classifier"]["models"][trained["classifier"]["best"]]
-    best.write().overwrite().save(f"{folder}/best_classifier")
+    saved.save_classifier(table.sparkSession, best, f"{folder}/best_classifier")
     return trained
 
 
