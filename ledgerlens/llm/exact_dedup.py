@@ -5,9 +5,9 @@ identifier lists are. Long texts move at most once, as chunks of which every tas
 moves lists of identifiers. An identifier is a pair of 64-bit hashes that is *verified*: all chunks of one identifier are
 grouped by content, and where two contents share one, they are told apart by a number.
 
-Cases: a null text is an empty one. Rows that repeat a ``doc_id`` with an equal text are one document; they count in
-``group_size`` and give one row. A null ``doc_id`` stays only if its group has no other. An empty table gives no rows.
-Further columns are not read, whatever their names. The result has one row per document.
+Cases: a null text is an empty one. Rows that repeat a ``doc_id`` with an equal text each give a row and count in
+``group_size``. A null ``doc_id`` stays only if its group has no other. An empty table gives no rows. Further columns are not
+read, whatever their names. The result has one row per row of the input.
 """
 
 from __future__ import annotations
@@ -84,18 +84,25 @@ def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", name=ch
 def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", name=chunk_name) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: of equal texts the smallest doc_id stays."""
     listed = recipes(docs, doc_id, text, name)
-    rows = listed.groupBy("recipe", "doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("times"))
-    groups = rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.sum("times").alias("group_size"))
-    groups = stage(groups, "groups")
+    groups = stage(listed.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
     # The side of the documents may be hot in one recipe; it is light, and Spark can split it, as both sides are plain tables.
-    return rows.join(groups, "recipe").select(
+    return listed.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
     )
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with further underscores if ``df`` has such a column (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without copies: whole rows of the documents that stay; of rows that repeat one of them, one stays."""
     found = exact_duplicates(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    marked = docs.withColumn("_text_sha256", F.sha2(normalised(F.col(text)).cast("binary"), 256))
-    same = marked[doc_id].eqNullSafe(found["_id"]) & (marked["_text_sha256"] == found["_sha"])
-    return marked.join(found, same, "left_semi").dropDuplicates([doc_id, "_text_sha256"]).drop("_text_sha256")
+    digest = free_name(docs, "_text_sha256")
+    marked = docs.withColumn(digest, F.sha2(normalised(F.col(text)).cast("binary"), 256))
+    same = marked[doc_id].eqNullSafe(found["_id"]) & (marked[digest] == found["_sha"])
+    return marked.join(found, same, "left_semi").dropDuplicates([doc_id, digest]).drop(digest)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from ledgerlens.llm.arrays import mixed, numbers, text_blocks
+from ledgerlens.llm.exact_dedup import free_name
 from ledgerlens.llm.graphs import components
 from ledgerlens.session import stage
 
@@ -267,6 +268,7 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Whole rows of ``docs``, of each group of near duplicates the document with the smallest id."""
     found = rows_of_components(docs, words, percent, SYMBOLS).filter("NOT kept")
     dropped = found.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    marked = docs.withColumn("_text_sha256", text_digest())
-    same = (marked["doc_id"].cast("bigint") == dropped["_id"]) & (marked["_text_sha256"] == dropped["_sha"])
-    return marked.join(dropped, same, "left_anti").drop("_text_sha256")
+    name = free_name(docs, "_text_sha256")
+    marked = docs.withColumn(name, text_digest())
+    same = (marked["doc_id"].cast("bigint") == dropped["_id"]) & (marked[name] == dropped["_sha"])
+    return marked.join(dropped, same, "left_anti").drop(name)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
 from ledgerlens.llm.arrays import text_blocks
+from ledgerlens.llm.exact_dedup import free_name
 from ledgerlens.llm.minhash_join import shingles
 from ledgerlens.session import stage
 
@@ -301,6 +302,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     digest = F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256)
     rejected = score(docs.select("doc_id", "text", digest.alias("_sha")), labels, keep=("_sha",)).filter("predicted = 1")
     rejected = rejected.select(F.col("doc_id").alias("_id"), "_sha").distinct()
-    marked = docs.withColumn("_text_sha256", digest)
-    same = marked["doc_id"].eqNullSafe(rejected["_id"]) & (marked["_text_sha256"] == rejected["_sha"])
-    return marked.join(rejected, same, "left_anti").drop("_text_sha256")
+    name = free_name(docs, "_text_sha256")
+    marked = docs.withColumn(name, digest)
+    same = marked["doc_id"].eqNullSafe(rejected["_id"]) & (marked[name] == rejected["_sha"])
+    return marked.join(rejected, same, "left_anti").drop(name)
