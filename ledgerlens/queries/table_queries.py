@@ -498,6 +498,28 @@ def csv_round_trip(spark, folder):
     return read.groupBy("segment").agg(*counted(read))
 
 
+BROKEN_LINES = "replace(replace(ea_text, 'e ', concat('e', chr(13), chr(10))), ', ', concat('\", \"', chr(10)))"
+
+
+@query(
+    "csv_parts_round_trip",
+    with_reports(
+        f"""SELECT segment, count(*) AS n, CAST(sum(length({BROKEN_LINES})) AS BIGINT) AS chars, min(md5({BROKEN_LINES})) AS least,
+        max(md5({BROKEN_LINES})) AS most FROM reports GROUP BY segment"""
+    ),
+)
+def csv_parts_round_trip(spark, folder):
+    """Reports with line breaks and quotes in their texts, written as plain CSV and read in ranges of 64 KB."""
+    path = scratch(spark, "reports-csv-parts")
+    broken = reports(spark, folder).select("segment", F.expr(BROKEN_LINES).alias("ea_text"))
+    broken.write.mode("overwrite").options(**tables.CSV_OPTIONS).csv(path)
+    read = tables.read_reports(spark, path, "segment string, ea_text string", part_bytes=65536)
+    digest = F.md5(F.col("ea_text").cast("binary"))
+    return read.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("ea_text")).alias("chars"), F.min(digest).alias("least"), F.max(digest).alias("most")
+    )
+
+
 @query(
     "splits_round_trip",
     with_reports(
