@@ -45,3 +45,39 @@ def test_equals_brute_force(spark, monkeypatch, k, batch, scale):
 
 def test_empty_table(spark):
     assert T.top_k(spark.createDataFrame([], SCHEMA), F.col("vec_id") % 10 == 0).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1, 3, 8])
+def test_bounds_hold_and_most_exact_vectors_stay_unread(spark, bits):
+    """The scan sees cells alone, its bounds hold the exact scores, and what it drops can't be among the best."""
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(8)], 1, "x", "y") for i in range(600)]
+    k = 5
+    number = F.monotonically_increasing_id()
+    whole = T.whole_vectors(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding")
+    vectors = T.stage(T.distinct_vectors(whole, k).withColumn("cand", number), "vectors")
+    edges = T.cell_edges(vectors, bits)
+    cells = T.approximations(vectors, edges)
+    assert dict(cells.dtypes) == {"n": "int", "cand": "bigint", "first": "bigint", "cells": "binary"}
+    assert all(len(r["cells"]) == 8 and max(r["cells"]) < 2**bits for r in cells.collect())
+    queries = whole.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("q"), F.col("vec_id").alias("query_id"), "vector")
+    exact = {r["vec_id"]: r["vector"] for r in whole.collect()}
+    found = T.bounds(queries, cells, edges, k).collect()
+    for r in found:
+        assert r["lower"] <= sum(a * b for a, b in zip(exact[r["query_id"]], exact[r["first"]])) <= r["upper"]
+    want = {(q, i) for q, _, i, _ in brute(rows, k, 20)}
+    assert want <= {(r["query_id"], r["first"]) for r in found}
+    if bits == 8:
+        assert len(found) < 30 * 3 * k
+
+
+@pytest.mark.parametrize("first_read", [1, 7, 1000])
+def test_equal_scores_and_repeated_ids(spark, monkeypatch, first_read):
+    """A query of zeros ties with all rows; an id with two vectors is a query for each; coarse cells and small first reads."""
+    monkeypatch.setattr(T, "BATCH_ROWS", 16)
+    monkeypatch.setattr(T, "PART_ROWS", 50)
+    rng = random.Random(5)
+    rows = [(i, [float(rng.randrange(-2, 3)) for _ in range(4)], 1, "x", "y") for i in range(200)]
+    rows += [(300, [0.0] * 4, 1, "x", "y"), (20, [2.0] * 4, 1, "x", "y"), (301, [2.0] * 4, 1, "x", "y")]
+    found = T.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 10 == 0, 6, bits=1, first_read=first_read)
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, 6, 10)
