@@ -13,7 +13,8 @@ over 4096 ranges of hashes each, so a source may hold any share of the rows.
 
 Cases: a null source is a source of its own, and null or empty texts have no tokens; a source without tokens has weight 0
 and one pass. Rows that repeat a doc_id share their ranks. A table without tokens passes once, unchanged. An empty table
-gives no rows. Column names that begin with ``_mix_`` are not allowed in the input; all others are kept as they are.
+gives no rows. All columns are kept as they are; ``copies`` puts underscores in front of the name of an input column that is
+called like one of the columns it adds, until the name is free.
 """
 
 from __future__ import annotations
@@ -128,8 +129,23 @@ def mixture(
     return Mixture(exponent, float(budget), stage(final.select(*[F.col(c).alias(f"_mix_{n}") for n, c in columns.items()]), "mixture"))
 
 
+def free_names(columns: list[str]) -> list[str]:
+    """The names of input columns, with underscores in front of those that begin like the added ones."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in columns:
+        free = name
+        if name.lower().startswith("_mix_"):
+            while free.lower() in taken or free.lower().startswith("_mix_"):
+                free = "_" + free
+            taken.add(free.lower())
+        out.append(free)
+    return out
+
+
 def copies(docs: DataFrame, mix: Mixture, block_tokens: float = 1e9, source: str = "source") -> DataFrame:
     """``docs`` once for each pass that takes the row, with _mix_epoch, _mix_place and _mix_block."""
+    names = dict(zip(docs.columns, free_names(docs.columns)))
+    docs, source = docs.toDF(*names.values()), names.get(source, source)
     rates = small(mix.sources)
     rated = docs.join(rates, F.col(source).eqNullSafe(F.col("_mix_source")))
     last = F.when(rank(F.col("_mix_full")) < F.col("_mix_below"), 1).otherwise(0)
@@ -143,4 +159,5 @@ def copies(docs: DataFrame, mix: Mixture, block_tokens: float = 1e9, source: str
 
 def mixed_rows(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture takes it."""
-    return copies(docs, mixture(docs, **limits)).select(*docs.columns)
+    taken = copies(docs, mixture(docs, **limits), source=limits.get("source", "source"))
+    return taken.drop(*[c for c in taken.columns if c.startswith("_mix_")]).toDF(*docs.columns)

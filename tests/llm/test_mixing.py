@@ -78,3 +78,16 @@ def test_tables_without_rows_or_tokens(spark):
     assert M.mixed_rows(empty).count() == 0
     blank = spark.createDataFrame([(1, "", "a", 1, "x"), (2, None, None, 1, "x")], SCHEMA)
     assert sorted(r["doc_id"] for r in M.mixed_rows(blank).collect()) == [1, 2]
+
+
+def test_names_like_the_added_ones(spark, docs):
+    """Columns called like those that the operator adds keep their values and, in the mixed rows, their names."""
+    clash = docs.select("*", F.col("doc_id").alias("_mix_weight"), F.col("text").alias("_MIX_EPOCH"), F.col("source").alias("__mix_weight"), F.lit(1).alias("a.b"))
+    rows = M.mixed_rows(clash)
+    assert rows.columns == clash.columns
+    plain = sorted(map(tuple, M.mixed_rows(docs).collect()), key=repr)
+    assert sorted((tuple(r)[:5] for r in rows.collect()), key=repr) == plain
+    for r in rows.collect():
+        assert tuple(r)[5:] == (r["doc_id"], r["text"], r["source"], 1)
+    again = M.copies(clash, M.mixture(clash))
+    assert {"___mix_weight", "__MIX_EPOCH", "__mix_weight", "_mix_weight", "_mix_epoch"} <= set(again.columns)
