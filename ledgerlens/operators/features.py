@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import VectorAssembler, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -136,13 +139,14 @@ def fit_word_vectors(
 ):
     """Word vectors averaged per document (I6); the model keeps ``size`` numbers for each of at most ``max_terms`` words.
 
-    Words are counted first, and ``min_count`` is raised as far as that bound asks, so what the fit gathers is bounded. The training is split into ``parts``, whatever the files; every part returns its own copy of the vectors.
+    Words are counted first. Where more than ``max_terms`` reach ``min_count``, the most frequent are kept, equal counts in the
+    order of the words, so what the fit gathers is bounded. The training is split into ``parts``, whatever the files; every part returns its own copy of the vectors.
     """
     terms = df.select(terms_of(F.coalesce(F.col(text), F.lit("")), bigrams=False).alias("_terms"))
     counts = terms.select(F.explode("_terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    first_left_out = counts.where(F.col("n") >= min_count).orderBy(F.desc("n"), "term").offset(max_terms).limit(1).collect()
-    if first_left_out:
-        min_count = first_left_out[0]["n"] + 1
+    first = counts.where(F.col("n") >= min_count).orderBy(F.desc("n"), "term").limit(max_terms + 1).collect()
+    if len(first) > max_terms:
+        terms = only_terms(terms, [r["term"] for r in first[:max_terms]])
     return Word2Vec(
         vectorSize=size,
         minCount=min_count,
@@ -154,6 +158,22 @@ def fit_word_vectors(
     ).fit(terms)
 
 
+def only_terms(terms: DataFrame, words: list[str]) -> DataFrame:
+    """Arrays of words, ``_terms``, without the words that are not listed."""
+
+    def work(batches):
+        known = pa.array(words, pa.string())
+        for batch in batches:
+            lists = batch.column(0)
+            flat, parent = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+            keep = pc.is_in(flat.cast(pa.string()), value_set=known)
+            sizes = np.bincount(parent[keep.to_numpy(zero_copy_only=False)], minlength=len(lists))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, flat.filter(keep))], ["_terms"])
+
+    return terms.mapInArrow(work, "_terms array<string>")
+
+
 def word_vector_embeddings(model, df: DataFrame, text: str) -> DataFrame:
     terms = df.withColumn("_terms", terms_of(F.coalesce(F.col(text), F.lit("")), bigrams=False))
     return model.transform(terms).drop("_terms")

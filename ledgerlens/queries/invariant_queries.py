@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import features, models, split, topics, versions
+from ledgerlens.plans import jobs
 from ledgerlens.queries.model_queries import FEATURES, feature_vectors
 from ledgerlens.queries.registry import documents, query, reports, scratch, table, with_reports
 from ledgerlens.queries.table_queries import registry
@@ -30,6 +31,29 @@ def lda_distributions(spark, folder):
     return scored.select("doc_id", (F.abs(total(weights) - 1) < 1e-6).alias("sums_to_one"))
 
 
+@query(
+    "topics_of_empty_documents",
+    """SELECT doc_id, 'text' AS kind, TRUE AS in_order, NULL::INTEGER AS topic, NULL::DOUBLE AS score FROM documents
+    UNION ALL SELECT doc_id, 'empty', TRUE, 0, 1.0 FROM documents""",
+)
+def topics_of_empty_documents(spark, folder):
+    """Best topics of every document come in falling order; with its text taken away it has topic 0 with score 1 alone."""
+    vectors, vectorizer = matrix(spark, folder, TERMS)
+    model = topics.fit_lda(vectors, "vector", TOPICS)
+    bare = vectorizer.transform(documents(spark, folder).select("doc_id", F.lit("").alias("text"))).select("doc_id", "vector")
+    out = []
+    for kind, rows in (("text", vectors), ("empty", bare)):
+        listed = F.array_sort(F.collect_list(F.struct("rank", "topic", "score")))
+        found = topics.score_documents(model, rows, "doc_id", "vector").groupBy("doc_id").agg(listed.alias("l"))
+        ranks, scores, only = F.col("l.rank"), F.col("l.score"), (F.size("l") == 1) & F.lit(kind == "empty")
+        in_order = (ranks == F.sequence(F.lit(1), F.size("l"))) & (scores == F.sort_array(scores, asc=False))
+        out.append(found.select(
+            "doc_id", F.lit(kind).alias("kind"), in_order.alias("in_order"),
+            F.when(only, F.col("l")[0]["topic"].cast("int")).alias("topic"), F.when(only, F.col("l")[0]["score"]).alias("score"),
+        ))
+    return out[0].unionByName(out[1])
+
+
 @query("topic_model_reload_equal", "SELECT doc_id, TRUE AS same FROM documents")
 def topic_model_reload_equal(spark, folder):
     """A topic model that was saved and loaded gives each document the weights that it gave before."""
@@ -43,6 +67,25 @@ def topic_model_reload_equal(spark, folder):
     return both.select("doc_id", near.alias("same"))
 
 
+@query(
+    "hook_clipped_returns",
+    with_reports(
+        """SELECT report_id, round(least(greatest(bhar0_2, -0.04), 0.06), 9) AS bhar0_2, bhar0_2 IS NULL AS missing,
+        CASE WHEN bhar0_2 > 0.05 THEN 1 ELSE 0 END AS label, CASE WHEN bhar0_2 > 0.06 THEN 1 ELSE 0 END AS was_high FROM reports"""
+    ),
+)
+def hook_clipped_returns(spark, folder):
+    """A hook of the data job: it clips the returns and marks high ones, before the label is taken from them."""
+
+    def clip(df):
+        bounded = F.when(F.col("bhar0_2").isNotNull(), F.least(F.greatest("bhar0_2", F.lit(-0.04)), F.lit(0.06)))
+        return df.withColumn("was_high", (F.coalesce(F.col("bhar0_2"), F.lit(0.0)) > 0.06).cast("int")).withColumn("bhar0_2", bounded)
+
+    config = jobs.JobConfig(key="report_id", returns="bhar0_2", financial_hook=clip)
+    prepared = jobs.prepare(reports(spark, folder), config)
+    return prepared.select("report_id", F.round("bhar0_2", 9).alias("bhar0_2"), F.col("bhar0_2").isNull().alias("missing"), "label", "was_high")
+
+
 @query(
     "svd_orthonormal",
     "SELECT a.i::INTEGER AS i, b.i::INTEGER AS j, (a.i = b.i)::INTEGER AS product FROM range(10) a(i), range(10) b(i)",

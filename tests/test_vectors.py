@@ -237,3 +237,13 @@ def test_saved_models_give_the_same_results(spark, texts, tmp_path):
     table = lexicon.lexicon_table(spark)
     saved.save_lexicon(table, str(tmp_path / "l"))
     assert sorted(values(saved.load_lexicon(spark, str(tmp_path / "l")))) == sorted(values(table))
+
+
+def test_word_vectors_of_exactly_the_first_terms(spark):
+    """Of words with equal counts those inside the bound keep their vectors."""
+    rows = [("apple apple apple berry berry cherry cherry damson damson",), ("zebra zebra apple",), (None,), ("",)]
+    df = spark.createDataFrame(rows, "text string")
+    for bound, want in ((1, {"apple"}), (3, {"apple", "berry", "cherry"}), (9, {"apple", "berry", "cherry", "damson", "zebra"})):
+        model = features.fit_word_vectors(df, "text", 4, min_count=2, parts=1, max_terms=bound)
+        assert {r["word"] for r in model.getVectors().collect()} == want
+        assert features.word_vector_embeddings(model, df, "text").count() == 4
