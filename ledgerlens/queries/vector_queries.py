@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.text import vocabulary_tokens, word_tokens
-from ledgerlens.operators import evaluate, features, topics, vectorize
+from ledgerlens.operators import evaluate, features, topics, vectorize, word_vectors
 from ledgerlens.queries import sql_text as q
 from ledgerlens.queries.registry import documents, query, scratch, table, with_tables
 from ledgerlens.session import stage
@@ -447,3 +447,64 @@ def classification_report(spark, folder):
     report = evaluate.classification_report(table(spark, folder, "labels"), "quality", "toxic")
     numbers = [F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")]
     return report.select("name", *numbers, "support")
+
+
+CONTEXTS_SQL = f"""
+texts AS (SELECT doc_id, {q.vocabulary('text')} AS t FROM documents),
+words AS (SELECT word, count(*) AS n FROM (SELECT unnest(t) AS word FROM texts) GROUP BY word HAVING count(*) >= 5),
+pairs AS (
+  SELECT t[i] AS a, t[i + d] AS b
+  FROM (SELECT t, d, unnest(range(1, len(t) - d + 1)) AS i FROM texts, (SELECT unnest(range(1, 6)) AS d))
+),
+cells AS (
+  SELECT word, other, count(*) AS n
+  FROM (SELECT a AS word, b AS other FROM pairs UNION ALL SELECT b, a FROM pairs)
+  WHERE word IN (SELECT word FROM words) AND other IN (SELECT word FROM words) GROUP BY ALL
+),
+sums AS (SELECT word, sum(n) AS r FROM cells GROUP BY word),
+weights AS (
+  SELECT c.word, c.n, ln(c.n * (SELECT sum(r) FROM sums)::DOUBLE / (s.r::DOUBLE * o.r)) AS weight
+  FROM cells c JOIN sums s ON s.word = c.word JOIN sums o ON o.word = c.other
+)"""
+
+
+@query(
+    "word_contexts",
+    with_tables(
+        """SELECT w.word, w.n AS uses, count(weight) AS partners, coalesce(sum(weights.n), 0)::BIGINT AS pairs,
+        round(coalesce(sum(weight), 0), 4) AS weight, round(coalesce(max(weight), 0), 6) AS strongest
+        FROM words w LEFT JOIN weights ON weights.word = w.word AND weight > 0 GROUP BY w.word, w.n""",
+        CONTEXTS_SQL,
+    ),
+)
+def word_contexts(spark, folder):
+    """Positive information of words and their neighbours, the matrix that word vectors decompose, summed for each word."""
+    docs = stage(documents(spark, folder).select("doc_id", "text"), "texts")
+    words = stage(word_vectors.word_counts(docs, "text").where("n >= 5"), "words")
+    cells = word_vectors.information(word_vectors.neighbours(docs, "text"), words)
+    sums = cells.groupBy("word").agg(
+        F.count(F.lit(1)).alias("partners"), F.sum("n").alias("pairs"), F.sum("weight").alias("weight"), F.max("weight").alias("strongest")
+    )
+    none = F.lit(0).cast("long")
+    return words.join(sums, "word", "left").select(
+        "word", F.col("n").alias("uses"), F.coalesce("partners", none).alias("partners"), F.coalesce("pairs", none).alias("pairs"),
+        F.round(F.coalesce("weight", F.lit(0.0)), 4).alias("weight"), F.round(F.coalesce("strongest", F.lit(0.0)), 6).alias("strongest"),
+    )
+
+
+@query(
+    "word_vector_documents",
+    with_tables(
+        """SELECT doc_id, (SELECT count(*) FROM (SELECT unnest(t) AS word) u JOIN words USING (word)) AS known,
+        50 AS numbers, true AS within FROM texts""",
+        CONTEXTS_SQL,
+    ),
+)
+def word_vector_documents(spark, folder):
+    """Mean vectors of documents: the words they rest on, and whether their lengths stay within the longest word vector's."""
+    docs = stage(documents(spark, folder).select("doc_id", "text"), "texts")
+    vectors = word_vectors.fit_vectors(docs, "text")
+    length = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    longest = vectors.agg(F.max(length)).first()[0] or 0.0
+    found = word_vectors.document_vectors(docs, "doc_id", "text", vectors)
+    return found.select("doc_id", "known", F.size("vector").alias("numbers"), (length <= longest + 1e-9).alias("within"))
