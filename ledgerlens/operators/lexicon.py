@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.expr import as_column
-from ledgerlens.functions.sentiment import SCORES, analyze, model_scores, score_struct
+from ledgerlens.functions.expr import as_column, let
+from ledgerlens.functions.sentiment import SCORES, analyze, count_in, model_scores, score_struct
 from ledgerlens.functions.text import text_chunks, word_tokens
 from ledgerlens.functions.wordlists import LEXICON
-from ledgerlens.session import small
+from ledgerlens.operators.hot_join import HOT_TERMS, frequent_terms, join_terms
+from ledgerlens.session import SMALL_TABLE_ROWS, small, stage
 
 
 def lexicon_table(spark: SparkSession, lexicon: dict[str, list[str]] | None = None) -> DataFrame:
@@ -39,21 +40,73 @@ def lexicon_flags(lexicon: DataFrame) -> DataFrame:
     return lexicon.groupBy("term").agg(*flags)
 
 
-def score_with_lexicon_table(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """Scores from a lexicon table of any size (C2, D23): ``(key, six scores)``.
+def score_with_lexicon_table(
+    df: DataFrame, key: str, text: str, lexicon: DataFrame, limit: int = SMALL_TABLE_ROWS, most: int = HOT_TERMS
+) -> DataFrame:
+    """Scores from a lexicon table of any size (C2, D23): ``(key, six scores)``; a NULL text has no tokens.
 
-    The lexicon is broadcast when it is checked to be small; tokens then meet it where they are, and only one partial sum
-    per text is shuffled.
+    A lexicon of at most ``limit`` terms, which is checked, is broadcast: tokens meet it where they are, and only one partial
+    sum per text is shuffled. Beyond it, the ``most`` frequent terms of the texts are counted in the row of their text, and
+    only the other tokens are shuffled by term, so that no term brings a large share of all tokens to one task.
+    """
+    flags = lexicon_flags(lexicon)
+    known = small(flags, limit)
+    if known is not flags:
+        tokens = df.select(key, F.explode_outer(word_tokens(text)).alias("term"))
+        hits = tokens.withColumn("tf", F.col("term").isNotNull().cast("long")).join(known, "term", "left")
+        return _scores_of_hits(hits, key)
+    flags = stage(flags, "lexicon")
+    hot = frequent_terms(df.select(F.explode(word_tokens(text)).alias("term")), "term", most)
+    found = flags.where(F.col("term").isin(hot)).collect()  # at most ``most`` rows
+    near = {name: [r["term"] for r in found if r[name]] for name in LEXICON}
+    rest = rare_tokens(df, key, text, hot, near).join(flags, "term", "left")
+    sums = [
+        F.sum(F.coalesce(F.col("here")[name], F.lit(0)) + F.when(F.col("real"), F.coalesce(F.col(name), F.lit(0))).otherwise(0)).alias(name)
+        for name in LEXICON
+    ]
+    totals = rest.groupBy(key).agg(*sums, F.sum(F.col("here")["total"]).alias("_total"))
+    return _scores_of_totals(totals, key)
+
+
+def rare_tokens(df: DataFrame, key: str, text: str, hot: list[str], near: dict[str, list[str]]) -> DataFrame:
+    """Tokens that are not in ``hot``: ``(key, term, real, here)``.
+
+    The first row of each text carries ``here``, the counts of the terms ``near`` by category and of all tokens. A text
+    without other tokens keeps one row that is not ``real``, under a term of its own, so that such rows are spread.
     """
-    tokens = df.select(key, F.explode_outer(word_tokens(text)).alias("term"))
-    return scores_from_counts(tokens.withColumn("tf", F.col("term").isNotNull().cast("long")), key, lexicon)
 
+    def parts(words: Column) -> Column:
+        counts = [count_in(words, terms).cast("long").alias(name) for name, terms in near.items()]
+        rare = F.filter(words, lambda w: ~w.isin(hot)) if hot else words
+        return F.struct(F.struct(*counts, F.size(words).cast("long").alias("total")).alias("here"), rare.alias("rare"))
+
+    words = F.coalesce(word_tokens(text), F.array().cast("array<string>"))
+    rows = df.select(key, let(words, parts).alias("p")).select(key, "p.here", F.posexplode_outer("p.rare").alias("at", "term"))
+    own = F.concat(F.lit("\0"), F.xxhash64(key).cast("string"))
+    first = F.when(F.coalesce(F.col("at"), F.lit(0)) == 0, F.col("here"))
+    return rows.select(key, F.coalesce("term", own).alias("term"), F.col("term").isNotNull().alias("real"), first.alias("here"))
+
+
+def scores_from_counts(
+    counts: DataFrame, key: str, lexicon: DataFrame, limit: int = SMALL_TABLE_ROWS, most: int = HOT_TERMS
+) -> DataFrame:
+    """Scores from term counts ``(key, term, tf)``; the denominator is the counted terms only.
 
-def scores_from_counts(counts: DataFrame, key: str, lexicon: DataFrame) -> DataFrame:
-    """Scores from term counts ``(key, term, tf)``; the denominator is the counted terms only."""
-    hits = counts.join(small(lexicon_flags(lexicon)), "term", "left")
+    Beyond ``limit`` terms the lexicon is joined by shuffle, but for the ``most`` frequent terms of the counts.
+    """
+    flags = lexicon_flags(lexicon)
+    known = small(flags, limit)
+    if known is not flags:
+        return _scores_of_hits(counts.join(known, "term", "left"), key)
+    return _scores_of_hits(join_terms(counts, stage(flags, "lexicon"), "term", frequent_terms(counts, "term", most)), key)
+
+
+def _scores_of_hits(hits: DataFrame, key: str) -> DataFrame:
     sums = [F.sum(F.col("tf") * F.coalesce(F.col(name), F.lit(0))).alias(name) for name in LEXICON]
-    totals = hits.groupBy(key).agg(*sums, F.sum("tf").alias("_total"))
+    return _scores_of_totals(hits.groupBy(key).agg(*sums, F.sum("tf").alias("_total")), key)
+
+
+def _scores_of_totals(totals: DataFrame, key: str) -> DataFrame:
     scored = totals.select(key, score_struct({n: F.col(n) for n in LEXICON}, F.col("_total")).alias("s"))
     return scored.select(key, *[F.col("s")[name].alias(name) for name in SCORES])
 
@@ -61,21 +114,20 @@ def scores_from_counts(counts: DataFrame, key: str, lexicon: DataFrame) -> DataF
 def score_vectors(
     df: DataFrame, key: str, vector: str, vocabulary: list[str], lexicon: dict[str, list[str]] | None = None
 ) -> DataFrame:
-    """Scores from the rows of a count matrix (D24): each row is summed where it lies, without a join."""
+    """Scores from the rows of a count matrix (D24): each row is summed where it lies, in one walk and without a join."""
     lexicon = LEXICON if lexicon is None else lexicon
     position = {term: i for i, term in enumerate(vocabulary)}
+    wanted = {name: [position[t] for t in terms if t in position] for name, terms in lexicon.items()}
     cells = df.select(key, F.unwrap_udt(vector).alias("v"))
     cells = cells.select(key, F.arrays_zip(F.col("v.indices").alias("i"), F.col("v.values").alias("x")).alias("c"))
 
-    def total(array: Column) -> Column:
-        return F.aggregate(array, F.lit(0.0), lambda acc, cell: acc + cell["x"])
+    def add(sums: Column, cell: Column) -> Column:
+        more = {n: F.when(cell["i"].isin(at), cell["x"]).otherwise(0.0) if at else F.lit(0.0) for n, at in wanted.items()}
+        return F.struct(*[(sums[n] + x).alias(n) for n, x in more.items()], (sums["total"] + cell["x"]).alias("total"))
 
-    counts = {}
-    for name, terms in lexicon.items():
-        wanted = [position[t] for t in terms if t in position]
-        hits = F.filter("c", lambda cell: cell["i"].isin(wanted)) if wanted else None
-        counts[name] = total(hits) if wanted else F.lit(0.0)
-    scored = cells.select(key, score_struct(counts, total(F.col("c"))).alias("s"))
+    none = F.struct(*[F.lit(0.0).alias(n) for n in [*wanted, "total"]])
+    sums = cells.select(key, F.aggregate("c", none, add).alias("n"))
+    scored = sums.select(key, score_struct({n: F.col("n")[n] for n in wanted}, F.col("n")["total"]).alias("s"))
     return scored.select(key, *[F.col("s")[name].alias(name) for name in SCORES])
 
 

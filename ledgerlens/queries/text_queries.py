@@ -8,7 +8,7 @@ from ledgerlens.functions import sentiment, text
 from ledgerlens.functions.wordlists import FINANCE_STOP_WORDS, LEXICON, STOP_WORDS
 from ledgerlens.operators import lexicon, vectorize
 from ledgerlens.queries import sql_text as q
-from ledgerlens.queries.registry import documents, query, reports, with_reports, with_tables
+from ledgerlens.queries.registry import documents, query, reports, table, with_reports, with_tables
 
 SCORES = sentiment.SCORES
 
@@ -57,6 +57,42 @@ def lexicon_sentiment_documents(spark, folder):
     return rounded(scored, ["doc_id"])
 
 
+# Every word of the documents and a name for each line of an order; the length of a word gives its category.
+LARGE_LEXICON_SQL = f"""
+lexicon AS (
+  SELECT term, CASE length(term) % 5 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' WHEN 2 THEN 'uncertainty'
+    WHEN 3 THEN 'litigious' END AS category
+  FROM (SELECT DISTINCT unnest({q.words('text')}) AS term FROM documents
+    UNION SELECT DISTINCT 'o_' || l_orderkey || '_' || l_linenumber FROM lineitem)
+),
+hits AS (
+  SELECT doc_id, category FROM (SELECT doc_id, unnest({q.words('text')}) AS term FROM documents) t JOIN lexicon USING (term)
+),
+sums AS (SELECT d.doc_id, greatest(len({q.words('text')}), 1)::DOUBLE AS total, """ + ", ".join(
+    f"(SELECT count(*) FROM hits h WHERE h.doc_id = d.doc_id AND category = '{c}')::DOUBLE AS n_{c}" for c in LEXICON
+) + " FROM documents d)"
+
+
+@query(
+    "lexicon_sentiment_large_table",
+    with_tables(
+        f"SELECT doc_id, {q.rounded(SCORES)} FROM scores",
+        LARGE_LEXICON_SQL,
+        "scores AS (SELECT doc_id, " + ", ".join(f"n_{c} / total AS {c}" for c in LEXICON)
+        + ", (n_positive - n_negative) / total AS net_sentiment, n_positive / (n_negative + 1) AS sentiment_ratio FROM sums)",
+    ),
+)
+def lexicon_sentiment_large_table(spark, folder):
+    """A lexicon that is too large to broadcast: frequent terms are counted in their row, the others joined by shuffle."""
+    docs = documents(spark, folder)
+    words = docs.select(F.explode(text.word_tokens("text")).alias("term"))
+    lines = table(spark, folder, "lineitem").select(F.concat_ws("_", F.lit("o"), "l_orderkey", "l_linenumber").alias("term"))
+    terms = words.union(lines).distinct()
+    names = F.array(*[F.lit(c) for c in ("positive", "negative", "uncertainty", "litigious")])
+    terms = terms.select("term", F.get(names, F.length("term") % 5).alias("category")).where("category is not null")
+    return rounded(lexicon.score_with_lexicon_table(docs, "doc_id", "text", terms), ["doc_id"])
+
+
 VOCABULARY_500_SQL = f"""
 tokens AS (SELECT report_id, {q.vocabulary('ea_text')} AS t FROM reports),
 grams AS (
