@@ -205,6 +205,56 @@ def box_target(spark, folder):
     return box.select(*[F.round(c, 6).alias(c) for c in box.columns if c != "outliers"], "outliers")
 
 
+# Numeric columns of the lines of orders; a tax of 0.04 is made NaN and one of 0.05 NULL, both of which are missing.
+NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "tax", "skewed"]
+NUMBERS_SQL = "numbers AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS name, ({value})::DOUBLE AS v FROM lineitem"
+    for name, value in zip(NUMBERS, [*NUMBERS[:7], "CASE WHEN l_tax NOT IN (0.04, 0.05) THEN l_tax END",
+                                     "CASE WHEN l_partkey % 3 > 0 THEN 7 ELSE l_extendedprice END"])
+) + ")"
+
+
+def numbers(spark, folder):
+    """Lines with a column of missing values and one where two thirds of the rows have the same value."""
+    tax = F.when(F.col("l_tax") == 0.04, F.lit(float("nan"))).when(F.col("l_tax") != 0.05, F.col("l_tax"))
+    skewed = F.when(F.col("l_partkey") % 3 > 0, F.lit(7.0)).otherwise(F.col("l_extendedprice"))
+    return table(spark, folder, "lineitem").withColumns({"tax": tax, "skewed": skewed}), {name: name for name in NUMBERS}
+
+
+@query(
+    "describe_numbers",
+    with_tables(
+        """SELECT name, count(v) AS "count", round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, min(v) AS "min",
+        round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50, round(quantile_cont(v, 0.75), 6) AS q75,
+        max(v) AS "max" FROM numbers GROUP BY name""",
+        NUMBERS_SQL,
+    ),
+)
+def describe_numbers(spark, folder):
+    """All numeric columns of a table in two scans."""
+    found = profile.describe_columns(*numbers(spark, folder))
+    digits = {"mean": 4, "std": 4, "q25": 6, "q50": 6, "q75": 6}
+    return found.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+@query(
+    "box_numbers",
+    with_tables(
+        """SELECT name, round(any_value(q25), 6) AS q25, round(any_value(q50), 6) AS q50, round(any_value(q75), 6) AS q75,
+        min(v) FILTER (v >= q25 - 1.5 * (q75 - q25)) AS lower_whisker, max(v) FILTER (v <= q75 + 1.5 * (q75 - q25)) AS upper_whisker,
+        count(*) FILTER (v < q25 - 1.5 * (q75 - q25) OR v > q75 + 1.5 * (q75 - q25)) AS outliers
+        FROM numbers JOIN quartiles USING (name) GROUP BY name""",
+        NUMBERS_SQL,
+        """quartiles AS (SELECT name, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50, quantile_cont(v, 0.75) AS q75
+        FROM numbers GROUP BY name)""",
+    ),
+)
+def box_numbers(spark, folder):
+    """Box plots of all numeric columns of a table in two scans."""
+    found = profile.box_columns(*numbers(spark, folder))
+    return found.withColumns({c: F.round(c, 6) for c in ("q25", "q50", "q75")})
+
+
 def histogram_sql(source: str, value: str, bins: int, *more: str) -> str:
     body = """SELECT g.bin, coalesce(c.n, 0) AS n FROM (SELECT CAST(unnest(range(BINS)) AS INTEGER) AS bin) g
     LEFT JOIN (SELECT bin, count(*) AS n FROM binned GROUP BY bin) c ON c.bin = g.bin""".replace("BINS", str(bins))
