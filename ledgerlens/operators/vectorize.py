@@ -17,11 +17,15 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.text import MIN_TOKEN_LENGTH, WORD_CHARS, vocabulary_tokens, with_bigrams, word_count
 from ledgerlens.functions.wordlists import ENGLISH_STOP_WORDS
+from ledgerlens.session import stage
 
 # Vocabulary limits.
 MAX_FEATURES = 5000
 MAX_DOC_FREQ = 0.95
 METHODS = ("count", "tfidf")
+# Hash buckets by which rare terms are summed, and the share of the documents from which frequent terms are guessed.
+TERM_BUCKETS = 1 << 18
+GUESS_SHARE = 0.01
 
 
 def terms_of(text: Column | str, bigrams: bool = True) -> Column:
@@ -30,18 +34,25 @@ def terms_of(text: Column | str, bigrams: bool = True) -> Column:
     return with_bigrams(tokens) if bigrams else tokens
 
 
-def term_statistics(terms: DataFrame) -> DataFrame:
-    """Corpus and document frequency of each term in column ``terms`` (D10, D11): ``(term, cf, df)``.
+def marked_terms(terms: DataFrame) -> DataFrame:
+    """Terms of the lists in column ``terms`` as rows ``(term, first)``; ``first`` marks one copy of each term of a list.
 
-    The terms of a document are sorted in its row, so that the first copy of each is known and one aggregation, with
-    partial sums before the shuffle, gives both counts.
+    The terms of a document are sorted in its row, so that corpus and document frequency are sums over the same rows.
     """
     ordered = terms.select(F.sort_array("terms").alias("t"))
     before = F.concat(F.array(F.lit(None).cast("string")), F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0))))
     marked = ordered.select(F.explode(F.zip_with("t", before, lambda t, b: F.struct(t.alias("term"), b.alias("b")))))
     rows = marked.select("col.term", (~F.col("col.term").eqNullSafe(F.col("col.b"))).alias("first"))
-    rows = rows.where("term is not null")
-    return rows.groupBy("term").agg(F.count(F.lit(1)).alias("cf"), F.count_if("first").alias("df"))
+    return rows.where("term is not null")
+
+
+def frequencies() -> list[Column]:
+    return [F.count(F.lit(1)).alias("cf"), F.count_if("first").alias("df")]
+
+
+def term_statistics(terms: DataFrame) -> DataFrame:
+    """Corpus and document frequency of each term in column ``terms`` (D10, D11): ``(term, cf, df)``."""
+    return marked_terms(terms).groupBy("term").agg(*frequencies())
 
 
 def top_terms(stats: DataFrame, documents: int, max_features: int, max_df: float) -> DataFrame:
@@ -50,6 +61,31 @@ def top_terms(stats: DataFrame, documents: int, max_features: int, max_df: float
     return kept.orderBy(F.desc("cf"), "term").limit(max_features)
 
 
+def frequent_terms(
+    terms: DataFrame, documents: int, max_features: int, max_df: float, buckets: int = TERM_BUCKETS, share: float = GUESS_SHARE
+) -> DataFrame:
+    """``top_terms`` of ``term_statistics``, exactly, without a shuffle of the rare terms (F9): ``(term, cf, df)``.
+
+    Likely terms are guessed from a ``share`` of the documents. One pass counts those exactly, and all others only as sums
+    by hash bucket, so that a task gives at most ``2 * max_features`` + ``buckets`` rows. The least of the best counts found is
+    a bound that no term of a bucket with a smaller sum can reach; a second pass counts the terms of the buckets that remain.
+    The guess decides how many remain, not the result: with a bad one the second pass counts all terms. The tables that
+    are broadcast hold at most ``2 * max_features`` terms and ``buckets`` numbers.
+    """
+    guess = term_statistics(terms.sample(share, seed=1)).orderBy(F.desc("cf"), "term").limit(2 * max_features)
+    guess = stage(guess.select("term", F.lit(True).alias("likely")), "likely")
+    rows = marked_terms(terms).join(F.broadcast(guess), "term", "left")
+    rows = rows.withColumn("bucket", F.when(F.col("likely").isNull(), F.pmod(F.xxhash64("term"), F.lit(buckets))))
+    known = F.when(F.col("likely"), F.col("term"))
+    sums = stage(rows.groupBy(known.alias("term"), "bucket").agg(*frequencies()), "sums")
+    best = top_terms(sums.where("term is not null"), documents, max_features, max_df).agg(F.count("cf"), F.min("cf")).first()
+    bound = best[1] if best[0] == max_features and max_features else 1
+    left = sums.where(F.col("bucket").isNotNull() & (F.col("cf") >= bound)).select("bucket")
+    recounted = rows.join(F.broadcast(left), "bucket", "left_semi").groupBy("term").agg(*frequencies())
+    counted = sums.where("term is not null").select("term", "cf", "df").unionByName(recounted)
+    return top_terms(counted, documents, max_features, max_df)
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Terms in alphabetical order with the documents that hold them, and the number of all documents."""
@@ -125,11 +161,11 @@ def fit_vectorizer(
 def fit_vocabulary(
     df: DataFrame, text: str, max_features: int = MAX_FEATURES, bigrams: bool = True, max_df: float = MAX_DOC_FREQ
 ) -> Vocabulary:
-    """The one step that shuffles: count all terms and keep the best ``max_features``, in alphabetical order."""
+    """The one step that shuffles: count the frequent terms and keep the best ``max_features``, in alphabetical order."""
     documents = df.count()
-    stats = term_statistics(df.select(terms_of(F.coalesce(F.col(text), F.lit("")), bigrams).alias("terms")))
+    terms = df.select(terms_of(F.coalesce(F.col(text), F.lit("")), bigrams).alias("terms"))
     # Bounded by max_features.
-    rows = sorted(top_terms(stats, documents, max_features, max_df).collect(), key=lambda r: r["term"])
+    rows = sorted(frequent_terms(terms, documents, max_features, max_df).collect(), key=lambda r: r["term"])
     if not rows:
         raise ValueError("no terms remain after the vocabulary limits")
     return Vocabulary([r["term"] for r in rows], [r["df"] for r in rows], documents, bigrams)

@@ -93,7 +93,7 @@ def lexicon_sentiment_large_table(spark, folder):
     return rounded(lexicon.score_with_lexicon_table(docs, "doc_id", "text", terms), ["doc_id"])
 
 
-VOCABULARY_500_SQL = f"""
+VOCABULARY_SQL = f"""
 tokens AS (SELECT report_id, {q.vocabulary('ea_text')} AS t FROM reports),
 grams AS (
   SELECT report_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term
@@ -102,7 +102,7 @@ grams AS (
 cells AS (SELECT report_id, term, count(*) AS tf FROM grams GROUP BY ALL),
 vocabulary AS (
   SELECT term FROM cells GROUP BY term HAVING count(*) <= 0.95 * (SELECT count(*) FROM reports)
-  ORDER BY sum(tf) DESC, term LIMIT 500
+  ORDER BY sum(tf) DESC, term LIMIT {vectorize.MAX_FEATURES}
 ),
 kept AS (SELECT cells.* FROM cells JOIN vocabulary USING (term))"""
 
@@ -111,7 +111,7 @@ kept AS (SELECT cells.* FROM cells JOIN vocabulary USING (term))"""
     "sentiment_from_counts",
     with_reports(
         f"SELECT report_id, {q.rounded(SCORES)} FROM scores",
-        VOCABULARY_500_SQL,
+        VOCABULARY_SQL,
         "sums AS (SELECT r.report_id, greatest(coalesce(sum(tf), 0), 1)::DOUBLE AS total, "
         + ", ".join(
             f"coalesce(sum(tf) FILTER (term IN ({q.quoted(terms)})), 0)::DOUBLE AS n_{c}"
@@ -127,7 +127,7 @@ kept AS (SELECT cells.* FROM cells JOIN vocabulary USING (term))"""
 def sentiment_from_counts(spark, folder):
     """Scores from the rows of a count matrix, without tokenising again."""
     texts = reports(spark, folder).select("report_id", "ea_text")
-    counter = vectorize.fit_vectorizer(texts, "ea_text", "count", 500)
+    counter = vectorize.fit_vectorizer(texts, "ea_text")
     scored = lexicon.score_vectors(counter.transform(texts), "report_id", "vector", counter.vocabulary)
     return rounded(scored, ["report_id"])
 

@@ -11,7 +11,7 @@ from ledgerlens.queries.registry import documents, query, scratch, table, with_t
 from ledgerlens.session import stage
 from ledgerlens.sources import models as saved
 
-VOCABULARY_SIZE = 1000
+VOCABULARY_SIZE = vectorize.MAX_FEATURES
 # Topics of a model, and the grid that the search for their number tries.
 TOPICS, TOPIC_COUNTS = 40, list(range(10, 101, 5))
 
@@ -49,8 +49,8 @@ def ngrams_top(spark, folder):
 @query("vocab_topk", with_tables("SELECT term, cf, df FROM vocabulary", TERMS_SQL))
 def vocab_topk(spark, folder):
     docs = documents(spark, folder)
-    stats = vectorize.term_statistics(docs.select(vectorize.terms_of("text").alias("terms")))
-    return vectorize.top_terms(stats, docs.count(), VOCABULARY_SIZE, 0.95)
+    terms = docs.select(vectorize.terms_of("text").alias("terms"))
+    return vectorize.frequent_terms(terms, docs.count(), VOCABULARY_SIZE, vectorize.MAX_DOC_FREQ)
 
 
 @query(
