@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions import sentiment, text
 from ledgerlens.functions.wordlists import FINANCE_STOP_WORDS, LEXICON, STOP_WORDS
-from ledgerlens.operators import lexicon, vectorize
+from ledgerlens.operators import lexicon, phrases, vectorize
 from ledgerlens.queries import sql_text as q
 from ledgerlens.queries.registry import documents, query, reports, table, with_reports, with_tables
 
@@ -132,6 +132,33 @@ def sentiment_from_counts(spark, folder):
     return rounded(scored, ["report_id"])
 
 
+# Pairs of neighbouring words of the benchmark; the length of a pair gives its topic.
+PAIRS_SQL = f"""
+pairs AS (
+  SELECT DISTINCT pair AS phrase, (length(pair) % 7)::VARCHAR AS category
+  FROM (SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair
+    FROM (SELECT {q.words('text')} AS w FROM benchmark))
+)"""
+
+
+@query(
+    "phrase_table_topics",
+    with_tables(
+        """SELECT doc_id, category, count(*) AS hits, round(least(0.95, count(*) * 0.15)::DOUBLE, 6) AS relevance
+        FROM documents JOIN pairs ON contains(lower(text), phrase) GROUP BY doc_id, category HAVING count(*) >= 2""",
+        PAIRS_SQL,
+    ),
+)
+def phrase_table_topics(spark, folder):
+    """Topics from a table of many phrases, all of which are found in one walk over a text."""
+    words = table(spark, folder, "benchmark").select(text.word_tokens("text").alias("w"))
+    near = F.transform(F.sequence(F.lit(2), F.size("w")), lambda i: F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1)))
+    pairs = words.where(F.size("w") > 1).select(F.explode(near).alias("phrase")).distinct()
+    pairs = pairs.select("phrase", (F.length("phrase") % 7).cast("string").alias("category"))
+    found = phrases.phrase_topics(documents(spark, folder), "doc_id", "text", pairs)
+    return found.withColumn("relevance", F.round("relevance", 6))
+
+
 MODEL_POSITIVE = "CASE WHEN ea_text LIKE '%growth%' THEN 0.7 WHEN ea_text LIKE '%decline%' THEN 0.1 END"
 MODEL_NEGATIVE = "CASE WHEN ea_text LIKE '%growth%' THEN 0.2 WHEN ea_text LIKE '%decline%' THEN 0.6 END"
 
