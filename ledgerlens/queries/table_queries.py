@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import metrics, sentiment, signals, text
@@ -464,6 +466,24 @@ def version_upsert(spark, folder):
     return newest.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query(
+    "incremental_version",
+    """SELECT * FROM (VALUES ('first', 4, true), ('again', 0, true), ('more', 1, true)) t(step, files_read, equal)""",
+)
+def incremental_version(spark, folder):
+    """Versions of a growing folder: the files that each step reads, and whether the version is that of all rows."""
+    path, sums = scratch(spark, f"files-{uuid.uuid4().hex}"), scratch(spark, f"sums-{uuid.uuid4().hex}")
+    rows, seen, done = table(spark, folder, "orders"), 0, []
+    for step, part in (("first", rows.where("o_orderkey % 5 > 0").repartition(4, "o_orderkey")), ("again", None), ("more", rows.where("o_orderkey % 5 = 0").coalesce(1))):
+        if part is not None:
+            part.write.mode("append").parquet(path)
+        version = versions.files_version(spark, path, sums, rows.schema)
+        known = spark.read.schema(versions.SUMS_SCHEMA).parquet(sums).count()
+        done.append((step, known - seen, version == versions.content_version(spark.read.schema(rows.schema).parquet(path))))
+        seen = known
+    return spark.createDataFrame(done, "step string, files_read int, equal boolean")
+
+
 @query(
     "version_latest",
     with_reports(
