@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.evaluate import classifier_metrics, regression_metrics, roc_auc, summarise_folds
 from ledgerlens.operators.search import FIT_ROWS, fit_boosted, linear_scores, tree_scores
 from ledgerlens.operators.split import RETURN_THRESHOLD, SEED, TEST_SIZE, above, folds, stratified_split
+from ledgerlens.operators.sparse import summed_parts
 from ledgerlens.session import compact, stage
 
 # Search settings.
@@ -25,7 +26,8 @@ JOB_ALPHA = 0.001
 CV_FOLDS = 5
 N_ITER_SEARCH = 20
 CLASSIFIER_ITER = 1000
-MOMENT_FEATURES = 200
+# Up to this width the sums of products of a fold, 32 MB, are held by a task and, for all folds, by the driver.
+MOMENT_FEATURES = 2_000
 LINEAR_KINDS = ("LogisticRegression", "SVM")
 # Final fits that run at the same time.
 FIT_THREADS = 4
@@ -272,74 +274,97 @@ def mean_fold_score(estimator, folded: DataFrame, k: int, label: str, regression
 def fold_moments(folded: DataFrame, k: int, label: str, features: str = "features"):
     """For each fold the row count and the sums of products of (1, x, y), from one pass over the rows.
 
-    A task sums its own rows; (p + 2)^2 numbers of each fold come back, however many rows there are.
+    A task sums its own rows; (p + 2)^2 numbers of each fold come back, however many rows there are. They are added in parts,
+    so that no task holds the sums of many others.
     """
+    import numpy as np
     from pyspark.ml.functions import vector_to_array
 
     size = len(folded.select(vector_to_array(features).alias("v")).first()["v"]) + 2
 
     def sums(batches):
         import numpy as np
-        import pyarrow as pa
-
-        total = {}
-        for batch in batches:
-            x = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False), float).reshape(batch.num_rows, size - 2)
-            y, fold = batch.column(2).to_numpy(), batch.column(0).to_numpy()
-            rows = np.concatenate([np.ones((len(y), 1)), x, y[:, None]], axis=1)
-            for f in np.unique(fold):
-                own = rows[fold == f]
-                total[int(f)] = total.get(int(f), 0) + own.T @ own
-        out = [(f, i, v) for f, m in total.items() for i, v in enumerate(m.ravel().tolist())]
-        columns = list(zip(*out)) if out else [[], [], []]
-        kinds = [pa.int32(), pa.int32(), pa.float64()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], ["fold", "cell", "value"])
+
+        total, most = {}, max(1, 2_000_000 // size)
+        for whole in batches:
+            for start in range(0, whole.num_rows, most):
+                batch = whole.slice(start, most)
+                x = np.array(batch.column(1).flatten().to_numpy(zero_copy_only=False), float).reshape(batch.num_rows, size - 2)
+                y, fold = batch.column(2).to_numpy(), batch.column(0).to_numpy()
+                rows = np.concatenate([np.ones((len(y), 1)), x, y[:, None]], axis=1)
+                for f in np.unique(fold):
+                    own = rows[fold == f]
+                    total[int(f)] = total.get(int(f), 0) + own.T @ own
+        for f, matrix in total.items():
+            yield f, matrix.ravel()
 
     rows = folded.select(F.col("fold").cast("int"), vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
-    cells = rows.mapInArrow(sums, "fold int, cell int, value double").groupBy("fold", "cell").agg(F.sum("value").alias("value"))
-    import numpy as np
+    found = summed_parts(rows, sums)
+    return np.array([found.get(f, np.zeros(size * size)).reshape(size, size) for f in range(k)])
 
-    moments = np.zeros((k, size * size))
-    for row in cells.collect():
-        moments[row["fold"], row["cell"]] = row["value"]
-    return moments.reshape(k, size, size)
 
+def lasso_path(total, alphas: list[float], rounds: int = 10_000, tolerance: float = 1e-12) -> list:
+    """Coefficients and intercept of the Lasso for each alpha, by coordinate descent on the sums of products.
 
-def lasso_on_moments(total, alpha: float, rounds: int = 10_000, tolerance: float = 1e-12):
-    """Coefficients and intercept of the Lasso by coordinate descent on the sums of products."""
+    Alphas are solved from the largest to the smallest, each from the coefficients of the one before. Only features that the
+    sequential strong rule keeps are visited; the optimality condition of all others is tested afterwards, and those that
+    fail it join until none does, so the rule decides the work and not the result.
+    """
     import numpy as np
 
     n = total[0, 0]
     mean = total[0] / n
     covariance = total / n - np.outer(mean, mean)
     gram, target = covariance[1:-1, 1:-1], covariance[1:-1, -1]
-    b = np.zeros(len(target))
-    for _ in range(rounds):
-        change = 0.0
-        for j in range(len(b)):
-            if gram[j, j] <= 0:
-                continue
-            pull = target[j] - gram[j] @ b + gram[j, j] * b[j]
-            new = np.sign(pull) * max(abs(pull) - alpha, 0) / gram[j, j]
-            change = max(change, abs(new - b[j]) * np.sqrt(gram[j, j]))
-            b[j] = new
-        if change < tolerance:
-            break
-    return b, mean[-1] - mean[1:-1] @ b
+    spread = np.diag(gram).copy()
+    b, pull, solved = np.zeros(len(target)), target.copy(), {}
+    before = np.abs(target).max(initial=0.0)
+    for alpha in sorted(set(alphas), reverse=True):
+        kept = (spread > 0) & ((np.abs(pull) >= 2 * alpha - before) | (b != 0))
+        while True:
+            own = np.flatnonzero(kept)
+            inner, local, rest = gram[np.ix_(own, own)], b[own], pull[own]
+            for _ in range(rounds):
+                change = 0.0
+                for j in range(len(own)):
+                    wanted = rest[j] + inner[j, j] * local[j]
+                    new = np.sign(wanted) * max(abs(wanted) - alpha, 0) / inner[j, j]
+                    if new != local[j]:
+                        rest -= inner[j] * (new - local[j])
+                        change = max(change, abs(new - local[j]) * np.sqrt(inner[j, j]))
+                        local[j] = new
+                if change < tolerance:
+                    break
+            b[own] = local
+            pull = target - gram @ b
+            missed = (spread > 0) & ~kept & (np.abs(pull) > alpha * (1 + 1e-9))
+            if not missed.any():
+                break
+            kept |= missed
+        solved[alpha], before = (b.copy(), mean[-1] - mean[1:-1] @ b), alpha
+    return [solved[alpha] for alpha in alphas]
 
 
-def lasso_fold_score(moments, alpha: float) -> float:
-    """Mean over the folds of the negative RMSE, each fold scored by the model of the others."""
+def lasso_on_moments(total, alpha: float, rounds: int = 10_000, tolerance: float = 1e-12):
+    """Coefficients and intercept of the Lasso for one alpha."""
+    return lasso_path(total, [alpha], rounds, tolerance)[0]
+
+
+def lasso_fold_scores(moments, alphas: list[float]) -> list[float]:
+    """For each alpha the mean over the folds of the negative RMSE, each fold scored by the model of the others."""
     import numpy as np
 
-    scores = []
+    scores, whole = [], moments.sum(axis=0)
     for held in moments:
         if not held[0, 0]:
             continue
-        b, intercept = lasso_on_moments(moments.sum(axis=0) - held, alpha)
-        rest = np.concatenate([[-intercept], -b, [1.0]])
-        scores.append(-np.sqrt(max(rest @ held @ rest, 0.0) / held[0, 0]))
-    return float(np.mean(scores))
+        rest = [np.concatenate([[-intercept], -b, [1.0]]) for b, intercept in lasso_path(whole - held, alphas)]
+        scores.append([-np.sqrt(max(r @ held @ r, 0.0) / held[0, 0]) for r in rest])
+    return [float(s) for s in np.mean(scores, axis=0)]
+
+
+def lasso_fold_score(moments, alpha: float) -> float:
+    return lasso_fold_scores(moments, [alpha])[0]
 
 
 def train_lasso(
@@ -367,7 +392,7 @@ def train_lasso(
     candidates = [rng.uniform(*alpha_range) for _ in range(alphas)]
     if len(folded.select("features").first()["features"]) <= MOMENT_FEATURES:
         moments = fold_moments(folded, k, label)
-        scores = [lasso_fold_score(moments, a) for a in candidates]
+        scores = lasso_fold_scores(moments, candidates)
     else:
         scores = [mean_fold_score(lasso(a, label=label), folded, k, label, True) for a in candidates]
     best = max(range(alphas), key=lambda i: scores[i])

@@ -131,6 +131,38 @@ def lasso_optimality(spark, folder):
     return table.select("feature", F.when(F.col("importance") != 0, exact).otherwise(F.abs("g") <= size + 1e-6).alias("optimal"))
 
 
+WIDE_TERMS, WIDE_ALPHAS = 500, [0.01, 0.001, 0.0001]
+
+
+@query(
+    "lasso_path_optimality",
+    f"SELECT alpha::DOUBLE AS alpha, i::INTEGER AS position, TRUE AS optimal FROM (VALUES {', '.join(f'({a})' for a in WIDE_ALPHAS)}) a(alpha), range({WIDE_TERMS}) t(i)",
+)
+def lasso_path_optimality(spark, folder):
+    """The optimality condition of each of 500 term weights, for three models of the length of a text that share one pass.
+
+    The gradient is taken again from the rows, not from the sums that the models were solved on.
+    """
+    vectors, _ = matrix(spark, folder, WIDE_TERMS, "tfidf")
+    docs = table(spark, folder, "documents").select("doc_id", F.log1p(F.length("text")).alias("y"))
+    rows = stage(vectors.join(docs, "doc_id").withColumn("fold", F.lit(0)), "wide")
+    sums = models.fold_moments(rows, 1, "y", "vector").sum(axis=0)
+    fitted = models.lasso_path(sums, WIDE_ALPHAS)
+    cells = rows.select("y", vector_to_array("vector").alias("x"))
+    flags = []
+    for alpha, (b, intercept) in zip(WIDE_ALPHAS, fitted):
+        weights = spark.createDataFrame([(b.tolist(),)], "b array<double>")
+        products = F.aggregate(F.zip_with("x", "b", lambda x, w: x * w), F.lit(float(intercept)), lambda total, v: total + v)
+        # One row of 500 numbers is broadcast.
+        rest = cells.crossJoin(F.broadcast(weights)).select("x", "b", (F.col("y") - products).alias("rest"))
+        gradient = rest.select("rest", F.posexplode(F.arrays_zip("x", "b")).alias("position", "c"))
+        found = gradient.groupBy("position").agg(F.avg(F.col("c.x") * F.col("rest")).alias("g"), F.max("c.b").alias("b"))
+        exact = F.abs(F.col("g") - F.lit(alpha) * F.signum("b")) < 1e-8
+        optimal = F.when(F.col("b") != 0, exact).otherwise(F.abs("g") <= alpha + 1e-8)
+        flags.append(found.select(F.lit(alpha).alias("alpha"), "position", optimal.alias("optimal")))
+    return flags[0].unionByName(flags[1]).unionByName(flags[2])
+
+
 @query(
     "svm_ranking",
     with_reports(
