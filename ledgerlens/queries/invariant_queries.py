@@ -15,7 +15,7 @@ from ledgerlens.queries.vector_queries import matrix
 from ledgerlens.session import stage
 from ledgerlens.sources import models as saved
 
-TOPICS, TERMS = 10, 5000
+TOPICS, TERMS = jobs.JobConfig.topics, 5000
 
 
 def total(weights):
@@ -88,24 +88,26 @@ def hook_clipped_returns(spark, folder):
 
 @query(
     "svd_orthonormal",
-    "SELECT a.i::INTEGER AS i, b.i::INTEGER AS j, (a.i = b.i)::INTEGER AS product FROM range(10) a(i), range(10) b(i)",
+    f"""SELECT a.i::INTEGER AS i, b.i::INTEGER AS j, (a.i = b.i)::INTEGER AS product
+    FROM range({features.SEMANTIC_COMPONENTS}) a(i), range({features.SEMANTIC_COMPONENTS}) b(i)""",
 )
 def svd_orthonormal(spark, folder):
     """Products of the components of the semantic features: 1 with themselves, 0 with each other."""
     vectors, _ = matrix(spark, folder, TERMS, "tfidf")
-    components = np.asarray(features.fit_lsa(vectors, "vector", TOPICS).components)
-    if components.shape[0] != TOPICS:
+    size = features.SEMANTIC_COMPONENTS
+    components = np.asarray(features.fit_lsa(vectors, "vector", size).components)
+    if components.shape[0] != size:
         components = components.T
     product = np.rint((components @ components.T) * 1e6) / 1e6
-    rows = [(i, j, int(round(product[i, j]))) for i in range(TOPICS) for j in range(TOPICS) if abs(product[i, j] - round(product[i, j])) < 1e-5]
+    rows = [(i, j, int(round(product[i, j]))) for i in range(size) for j in range(size) if abs(product[i, j] - round(product[i, j])) < 1e-5]
     return spark.createDataFrame(rows, "i int, j int, product int")
 
 
 @query("nmf_weights", "SELECT doc_id, TRUE AS non_negative, TRUE AS error_falls FROM documents")
 def nmf_weights(spark, folder):
     """Weights of all documents are not negative, and the error of the factorisation never rises."""
-    vectors, _ = matrix(spark, folder, 1000, "tfidf")
-    model = topics.fit_nmf(vectors, "vector", 8)
+    vectors, _ = matrix(spark, folder, TERMS, "tfidf")
+    model = topics.fit_nmf(vectors, "vector", TOPICS)
     falls = all(b <= a * (1 + 1e-9) for a, b in zip(model.errors, model.errors[1:]))
     found = model.transform(vectors, "vector")
     return found.select("doc_id", F.forall("weights", lambda w: w >= 0).alias("non_negative"), F.lit(falls).alias("error_falls"))
