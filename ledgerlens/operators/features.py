@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import as_column, let
 from ledgerlens.functions.text import SPACE_CHARS
-from ledgerlens.operators.sparse import cells, sum_rows, task_helpers
+from ledgerlens.operators.sparse import cells, summed_parts, task_helpers
 from ledgerlens.operators.topics import LDA_FEATURE_ITER, fit_lda
 from ledgerlens.operators.vectorize import FittedVectorizer, Vocabulary, fit_vocabulary, terms_of, vectorizer
 from ledgerlens.session import stage
@@ -94,25 +94,20 @@ def fit_lsa(
     def multiply(block):
         shared = spark.sparkContext.broadcast(block)
 
-        def run(frames: Iterator) -> Iterator:
+        def run(batches: Iterator) -> Iterator:
             import numpy as np
-            import pandas as pd
 
             basis = shared.value
             total = np.zeros(basis.shape)
-            for frame in frames:
-                for part, rows, columns, values in pieces(frame):
+            for batch in batches:
+                for part, rows, columns, values in pieces(batch.to_pandas()):
                     scores = row_sums(rows, values[:, None] * basis[columns], len(part))
                     total += column_sums(columns, values[:, None] * scores[rows], len(total))
-            used = np.flatnonzero(total.any(axis=1))
-            yield pd.DataFrame({"kind": ["gram"] * len(used), "i": used, "sums": list(total[used])})
+            yield 0, total.ravel()
 
-        sums = found.mapInPandas(run, "kind string, i long, sums array<double>")
-        result = np.zeros((size, width))
-        for row in sum_rows(sums, width):
-            result[row["i"]] = row[2:]
+        sums = summed_parts(found.select("i", "x"), run)
         shared.unpersist()
-        return result
+        return sums.get(0, np.zeros(size * width)).reshape(size, width)
 
     basis, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((size, width)))
     for _ in range(iterations):

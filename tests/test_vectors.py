@@ -134,6 +134,16 @@ def test_lsa_against_full_svd(spark):
     assert [r["ratio"] for r in shares.orderBy("component").collect()] == pytest.approx(list(expected))
 
 
+def test_lsa_with_parts_without_cells(spark):
+    dense, df = matrix(spark)
+    empty = spark.createDataFrame([(60 + i, Vectors.sparse(12, [], [])) for i in range(3)], ["k", "v"]).coalesce(1)
+    both = df.unionByName(empty).unionByName(df.where("k < 0"))
+    model = features.fit_lsa(both, "v", 4)
+    assert model.singular_values == pytest.approx(np.linalg.svd(dense, compute_uv=False)[:4], rel=1e-6)
+    scores = dict(values(model.transform(both, "v").select("k", "semantic")))
+    assert np.array([scores[i] for i in range(63)]) == pytest.approx(np.r_[dense, np.zeros((3, 12))] @ model.components, abs=1e-9)
+
+
 def test_nmf_error_falls(spark):
     dense, df = matrix(spark)
     model = topics.fit_nmf(df, "v", 3, iterations=12)
