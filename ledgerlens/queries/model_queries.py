@@ -330,10 +330,14 @@ def text_scoring_details(spark, folder):
     )
 
 
+# Rows of a file of feature vectors; fits that hold the rows of a task hold at most 32 files of them.
+FEATURE_FILE_ROWS = 20_000
+
+
 def feature_vectors(spark, folder):
     rows = feature_rows(spark, folder)
     vector = array_to_vector(F.array(*[F.col(f).cast("double") for f in FEATURES]))
-    return compact(stage(rows.select("report_id", "bhar0_2", vector.alias("features")), "report-features"))
+    return compact(stage(rows.select("report_id", "bhar0_2", vector.alias("features")), "report-features", FEATURE_FILE_ROWS))
 
 
 @query("lasso_fit")

@@ -1,8 +1,8 @@
-"""Work of a task stays bounded when a table grows."""
+"""Work of a task stays bounded when a table grows: rows dealt to tasks, rows of a file, CSV ranges that share tasks."""
 
 from pyspark.sql import functions as F
 
-from ledgerlens.session import dealt
+from ledgerlens.session import dealt, stage
 
 
 def test_rows_are_dealt_by_their_number(spark):
@@ -14,3 +14,8 @@ def test_rows_are_dealt_by_their_number(spark):
     sizes = [r["count"] for r in many.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 3000 and max(sizes) < 200
     assert sorted(map(tuple, many.collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_files_of_bounded_rows(spark):
+    df = stage(spark.range(0, 1000, 1, 1), "bounded", 100)
+    assert len(df.inputFiles()) == 10 and df.count() == 1000
