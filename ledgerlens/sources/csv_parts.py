@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 from ledgerlens.session import stage
 
 MOST_RANGES = 100_000
+# Ranges are read one after another by a task, so that small ranges of large files don't start a task each.
+TASK_BYTES = 64 << 20
 RANGE = ["path", "begin", "size"]
 
 
@@ -55,15 +57,22 @@ def fixed_ranges(spark: SparkSession, part_bytes: int | None):
                 spark.conf.set(name, value)
 
 
-def lines(spark: SparkSession, path: str) -> DataFrame:
-    """path, begin, size (of the range), row (ascending in a range), line, odd (an odd number of quotes)."""
+def lines(spark: SparkSession, path: str, part_bytes: int | None = None) -> DataFrame:
+    """path, begin, size (of the range), row (ascending in a range), line, odd (an odd number of quotes).
+
+    Ranges of less than ``TASK_BYTES`` share tasks, but no core is left without one.
+    """
     meta = F.col("_metadata")
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return spark.read.option("lineSep", "\n").text(path).select(
+    found = spark.read.option("lineSep", "\n").text(path).select(
         meta["file_path"].alias("path"), meta["file_block_start"].alias("begin"), meta["file_block_length"].alias("size"),
         F.monotonically_increasing_id().alias("row"), line.alias("line"), (quotes % 2 == 1).alias("odd"),
     )
+    if not part_bytes:
+        return found
+    count = found.rdd.getNumPartitions()
+    return found.coalesce(max(1, min(count, max(2 * spark.sparkContext.defaultParallelism, -(-count * part_bytes // TASK_BYTES)))))
 
 
 def ranges(rows: DataFrame) -> DataFrame:
@@ -169,7 +178,7 @@ def read_csv_parts(
     """
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     with fixed_ranges(spark, part_bytes):
-        each = lines(spark, path)
+        each = lines(spark, path, part_bytes)
         known = stage(ranges(each), "csv-ranges")
         few = known.limit(MOST_RANGES + 1).count() <= MOST_RANGES
         # A range that the first pass did not see would lose its lines: it stops the job instead.

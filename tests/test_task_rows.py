@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ledgerlens.session import dealt, stage
+from ledgerlens.sources import csv_parts, tables
 
 
 def test_rows_are_dealt_by_their_number(spark):
@@ -19,3 +20,14 @@ def test_rows_are_dealt_by_their_number(spark):
 def test_files_of_bounded_rows(spark):
     df = stage(spark.range(0, 1000, 1, 1), "bounded", 100)
     assert len(df.inputFiles()) == 10 and df.count() == 1000
+
+
+def test_csv_ranges_share_tasks(spark, tmp_path):
+    rows = [(i, f'line "{i}"\n{"x" * (i % 50)},\n') for i in range(4000)]
+    spark.createDataFrame(rows, "id int, t string").coalesce(1).write.options(**tables.CSV_OPTIONS).csv(str(tmp_path / "c"))
+    with csv_parts.fixed_ranges(spark, 512):
+        found = csv_parts.lines(spark, str(tmp_path / "c"), 512)
+        assert found.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+        assert found.select("path", "begin").distinct().count() > 100
+    read = csv_parts.read_csv_parts(spark, str(tmp_path / "c"), "id int, t string", 512)
+    assert sorted(map(tuple, read.collect())) == rows
