@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import vectorize
 
@@ -36,3 +37,17 @@ def test_no_terms(spark):
     none = spark.createDataFrame([], "terms array<string>")
     assert vectorize.frequent_terms(none, 0, 10, 0.95).count() == 0
     assert vectorize.frequent_terms(spark.createDataFrame([(["a"],)], "terms array<string>"), 1, 0, 1.0).count() == 0
+
+
+def test_texts_are_counted_once(spark):
+    """The terms are made at most twice, for the guess and for the counts; the last sums are made from written counts."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def terms(k):
+        made.add(1)
+        return [f"w{k % 7}", "all"]
+
+    found = vectorize.frequent_terms(spark.range(200).select(terms("id").alias("terms")), 200, 3, 1.0)
+    assert [tuple(r) for r in found.collect()] == [("all", 200, 200), ("w0", 29, 29), ("w1", 29, 29)]
+    assert made.value <= 400
