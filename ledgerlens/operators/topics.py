@@ -27,6 +27,8 @@ LDA_TOLERANCE = 1e-5
 MIN_TOPIC_SCORE = 0.01
 MAX_DOC_TOPICS = 5
 COHERENCE_EPSILON = 1e-12
+# Cells of documents handled at once by NMF: cells x topics numbers, few enough for the caches.
+NMF_CELLS = 20_000
 
 
 def doc_topic_prior(topics: int) -> float:
@@ -259,7 +261,7 @@ class NmfModel:
 
 def _weigher():
     """Weights of a batch of documents for fixed components, by multiplicative updates (runs inside tasks)."""
-    pieces, row_sums, _ = task_helpers()
+    pieces, row_sums, _ = task_helpers(NMF_CELLS)
 
     def weigh(frame, components, inner):
         import numpy as np

@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -257,3 +258,11 @@ def test_word_vectors_of_exactly_the_first_terms(spark):
         model = features.fit_word_vectors(df, "text", 4, min_count=2, parts=1, max_terms=bound)
         assert {r["word"] for r in model.getVectors().collect()} == want
         assert features.word_vector_embeddings(model, df, "text").count() == 4
+
+
+def test_nmf_handles_few_cells_at_once():
+    """The numbers that a task makes at once, cells x topics, stay in its caches."""
+    rng = np.random.default_rng(2)
+    frame = pd.DataFrame({"i": [np.arange(50)] * 1000, "x": list(rng.random((1000, 50)))})
+    sizes = [len(values) for *_, values in topics._weigher()(frame, rng.random((3, 50)), 2)]
+    assert sum(sizes) == 50_000 and max(sizes) <= 20_000
