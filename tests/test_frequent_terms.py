@@ -51,3 +51,24 @@ def test_texts_are_counted_once(spark):
     found = vectorize.frequent_terms(spark.range(200).select(terms("id").alias("terms")), 200, 3, 1.0)
     assert [tuple(r) for r in found.collect()] == [("all", 200, 200), ("w0", 29, 29), ("w1", 29, 29)]
     assert made.value <= 400
+
+
+def test_the_guess_makes_no_terms_again(spark):
+    """Likely terms are guessed from the written counts, so each text is made into terms once."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def terms(k):
+        made.add(1)
+        return [f"w{k % 7}", "all"]
+
+    found = vectorize.frequent_terms(spark.range(200).select(terms("id").alias("terms")), 200, 3, 1.0, share=0.1)
+    assert [tuple(r) for r in found.collect()] == [("all", 200, 200), ("w0", 29, 29), ("w1", 29, 29)]
+    assert made.value == 200
+
+
+def test_a_share_of_each_batch_is_counted_apart(spark):
+    rows = [(["a", "b", "a"],), (["b"],), (None,), (["c", "a"],), ([],), (["c", None],), (["a"],)]
+    df = spark.createDataFrame(rows, "terms array<string>").coalesce(1)
+    found = vectorize.counted_terms(df, 1 / 3)
+    assert {r["term"]: (r["cf"], r["df"], r["picked"]) for r in found.collect() if r["term"]} == {"a": (4, 3, 4), "b": (2, 2, 1), "c": (2, 2, 1)}

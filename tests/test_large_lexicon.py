@@ -3,7 +3,9 @@
 from collections import Counter
 
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerlens.functions.sentiment import SCORES
 from ledgerlens.functions.wordlists import LEXICON
@@ -69,3 +71,16 @@ def test_no_task_holds_the_hot_term(spark):
 
 def test_no_texts(spark, table):
     assert lexicon.score_with_lexicon_table(spark.createDataFrame([], "k int, t string"), "k", "t", table).count() == 0
+
+
+def test_matrix_rows_are_scored_in_batches(spark):
+    """Sums of a count matrix, also of rows without cells, without a vector and with a dense one; no row is walked by an expression."""
+    vectors = [Vectors.sparse(4, [0, 2, 3], [2.0, 1.0, 5.0]), Vectors.sparse(4, [], []), None, Vectors.dense([1.0, 0.0, 0.0, 0.0]), Vectors.sparse(4, [1], [3.0])]
+    df = spark.createDataFrame(list(enumerate(vectors)), StructType([StructField("k", LongType()), StructField("v", VectorUDT())]))
+    words = {"positive": ["a"], "negative": ["b", "c"], "uncertainty": ["c", "zz"], "litigious": []}
+    found = lexicon.score_vectors(df.coalesce(1), "k", "v", ["a", "b", "c", "d"], words)
+    assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    rows = {r["k"]: tuple(r)[1:] for r in found.collect()}
+    assert rows[0] == (2 / 8, 1 / 8, 1 / 8, 0.0, 1 / 8, 1.0)
+    assert rows[1] == (0.0,) * 6 and rows[4] == (0.0, 1.0, 0.0, 0.0, -1.0, 0.0)
+    assert rows[2] == rows[3] == (None,) * 6
