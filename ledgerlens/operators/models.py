@@ -364,6 +364,38 @@ def lasso_path(total, alphas: list[float], rounds: int = 10_000, tolerance: floa
     return [solved[alpha] for alpha in alphas]
 
 
+def lasso_gradients(rows: DataFrame, label: str, features: str, fitted: list):
+    """For each ``(coefficients, intercept)`` the mean over the rows of each feature times the rest that the model leaves.
+
+    One pass serves all models and reads the cells of sparse vectors as they are; models x features numbers come back. Rows
+    without a label are left out; None without any row.
+    """
+    import numpy as np
+
+    weights = np.array([b for b, _ in fitted], float).T
+    intercepts = np.array([intercept for _, intercept in fitted], float)
+
+    def run(batches):
+        import numpy as np
+
+        total = np.zeros((len(weights), len(intercepts)))
+        count = 0
+        for batch in batches:
+            lists, x, y = batch.column(1), batch.column(2).flatten().to_numpy(), batch.column(0).to_numpy()
+            row, column = lists.value_parent_indices().to_numpy(), lists.flatten().to_numpy()
+            for m, intercept in enumerate(intercepts):
+                rest = y - (np.bincount(row, x * weights[column, m], len(y)) + intercept)
+                total[:, m] += np.bincount(column, x * rest[row], len(weights))
+            count += len(y)
+        yield 0, np.r_[total.ravel(), count]
+
+    v = F.unwrap_udt(features)
+    opened = rows.where(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("y"), v.alias("v"))
+    places = F.coalesce(F.col("v.indices"), F.sequence(F.lit(0), F.size("v.values") - 1))
+    found = summed_parts(opened.select("y", places.alias("i"), F.col("v.values").alias("x")), run).get(0)
+    return None if found is None or not found[-1] else found[:-1].reshape(weights.shape).T / found[-1]
+
+
 def lasso_on_moments(total, alpha: float, rounds: int = 10_000, tolerance: float = 1e-12):
     """Coefficients and intercept of the Lasso for one alpha."""
     return lasso_path(total, [alpha], rounds, tolerance)[0]

@@ -150,19 +150,17 @@ def lasso_path_optimality(spark, folder):
     rows = stage(vectors.join(docs, "doc_id").withColumn("fold", F.lit(0)), "wide")
     sums = models.fold_moments(rows, 1, "y", "vector").sum(axis=0)
     fitted = models.lasso_path(sums, WIDE_ALPHAS)
-    cells = rows.select("y", vector_to_array("vector").alias("x"))
-    flags = []
-    for alpha, (b, intercept) in zip(WIDE_ALPHAS, fitted):
-        weights = spark.createDataFrame([(b.tolist(),)], "b array<double>")
-        products = F.aggregate(F.zip_with("x", "b", lambda x, w: x * w), F.lit(float(intercept)), lambda total, v: total + v)
-        # One row of 500 numbers is broadcast.
-        rest = cells.crossJoin(F.broadcast(weights)).select("x", "b", (F.col("y") - products).alias("rest"))
-        gradient = rest.select("rest", F.posexplode(F.arrays_zip("x", "b")).alias("position", "c"))
-        found = gradient.groupBy("position").agg(F.avg(F.col("c.x") * F.col("rest")).alias("g"), F.max("c.b").alias("b"))
-        exact = F.abs(F.col("g") - F.lit(alpha) * F.signum("b")) < 1e-8
-        optimal = F.when(F.col("b") != 0, exact).otherwise(F.abs("g") <= alpha + 1e-8)
-        flags.append(found.select(F.lit(alpha).alias("alpha"), "position", optimal.alias("optimal")))
-    return flags[0].unionByName(flags[1]).unionByName(flags[2])
+    gradients = models.lasso_gradients(rows, "y", "vector", fitted)
+    # Alphas x features rows.
+    table_rows = [
+        (alpha, i, float(gradients[m][i]) if gradients is not None else None, float(b[i]))
+        for m, (alpha, (b, _)) in enumerate(zip(WIDE_ALPHAS, fitted))
+        for i in range(len(b))
+    ]
+    found = spark.createDataFrame(table_rows, "alpha double, position int, g double, b double")
+    exact = F.abs(F.col("g") - F.col("alpha") * F.signum("b")) < 1e-8
+    optimal = F.when(F.col("b") != 0, exact).otherwise(F.abs("g") <= F.col("alpha") + 1e-8)
+    return found.select("alpha", "position", optimal.alias("optimal"))
 
 
 @query(

@@ -4,6 +4,8 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ledgerlens.operators import models
 
@@ -43,3 +45,17 @@ def test_wide_search_makes_no_fit_per_fold(spark, monkeypatch):
     monkeypatch.setattr(models, "mean_fold_score", None)
     found = models.train_lasso(df, "k", "y", alphas=4, alpha_range=(0.05, 2.0), k=3)
     assert found["search"].count() == 4 and found["coefficients"].count() == 250
+
+
+def test_gradients_of_all_models_come_from_one_pass(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((40, 5)) * (rng.random((40, 5)) < 0.5)
+    y = [None if k == 7 else float(v) for k, v in enumerate(rng.standard_normal(40))]
+    vectors = [Vectors.dense(r) if k % 2 else Vectors.sparse(5, {i: float(v) for i, v in enumerate(r) if v}) for k, r in enumerate(x)]
+    rows = spark.createDataFrame(list(zip(y, vectors)), StructType([StructField("y", DoubleType()), StructField("v", VectorUDT())])).repartition(3)
+    fitted = [(rng.standard_normal(5), 0.5), (np.zeros(5), -1.0)]
+    held = [k for k in range(40) if k != 7]
+    right = np.array([y[k] for k in held])
+    for (b, intercept), found in zip(fitted, models.lasso_gradients(rows, "y", "v", fitted)):
+        assert found == pytest.approx(x[held].T @ (right - x[held] @ b - intercept) / 39)
+    assert models.lasso_gradients(rows.where("y is null"), "y", "v", fitted) is None
