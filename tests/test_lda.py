@@ -84,3 +84,13 @@ def test_tuning_is_one_search_over_all_counts(spark, documents):
         top = topics.top_words(topics.topic_word_weights(spark, model.topics_matrix(), vocabulary), 5)
         each = topics.umass_coherence(documents, topics.matrix_terms("v", vocabulary), top)
         assert r["mean_umass"] == pytest.approx(each.agg({"umass": "avg"}).first()[0])
+
+
+def test_a_fit_goes_on_from_fewer_passes_to_the_same_model(documents):
+    begun = topics.fit_lda(documents, "v", 3, max_iter=3)
+    whole, rest = topics.fit_lda(documents, "v", 3, max_iter=7), topics.fit_lda(documents, "v", 3, max_iter=7, begun=begun)
+    assert len(begun.bounds) == 3 and len(rest.bounds) == 7
+    assert (rest.weights == whole.weights).all() and rest.bounds == whole.bounds
+    ended = topics.fit_lda(documents, "v", 3, max_iter=200)
+    again = topics.fit_lda(documents, "v", 3, max_iter=300, begun=ended)
+    assert len(ended.bounds) < 200 and again.bounds == ended.bounds
